@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F
 
 
 class QualityError(ValueError):
@@ -112,13 +112,13 @@ def verdict(checks: DataFrame) -> DataFrame:
 
 def split_by_checks(df: DataFrame, checks: Sequence[Check]) -> tuple[DataFrame, DataFrame]:
     """Rows that pass all blocking checks, and the others with a ``violations`` array."""
-    broken = F.filter(
-        F.array(*[F.when(F.expr(c.violation), F.lit(c.name)) for c in checks if c.blocking]),
-        lambda name: name.isNotNull(),
+    blocking = [c for c in checks if c.blocking]
+    # Plain predicates choose the rows; names are gathered only for the bad ones.
+    bad = reduce(
+        lambda a, b: a | b, [F.coalesce(F.expr(c.violation), F.lit(False)) for c in blocking]
     )
-    marked = df.withColumn("violations", broken)
-    passed: Column = F.size("violations") == 0
-    return marked.filter(passed).drop("violations"), marked.filter(~passed)
+    names = F.array_compact(F.array(*[F.when(F.expr(c.violation), F.lit(c.name)) for c in blocking]))
+    return df.filter(~bad), df.filter(bad).withColumn("violations", names)
 
 
 # --- Gates: the only functions here that run a job -------------------------

@@ -47,7 +47,10 @@ def merged(
             for c in target.columns
         ]
     )
-    added = source.join(target.select(*keys), keys, "left_anti")
+    # Which keys were there already is asked from the target side: next to a small
+    # source neither this nor the join above moves the target's rows.
+    present = target.select(*keys).join(source.select(*keys), keys, "left_semi")
+    added = source.join(present, keys, "left_anti")
     added = added.select(
         *[
             F.col(c) if c in source.columns else F.lit(None).cast(target.schema[c].dataType).alias(c)

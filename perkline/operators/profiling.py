@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StringType
 
 from perkline.operators.matching import row_counts
 
@@ -28,26 +29,25 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
-def repeated_rows(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def repeated_rows(
+    df: DataFrame, columns: Sequence[str] | None = None, digest_text: bool = False
+) -> DataFrame:
     """``(total, later_rows)``: rows equal to an earlier one in ``columns`` (default: all).
 
-    Rows are first counted by an 8-byte hash, so the first shuffle does not carry
-    them. Only rows whose hash repeats are then compared in full, which keeps the
-    result exact. Both counts are reduced inside the map tasks first.
+    Copies are counted inside the map tasks first. ``digest_text`` compares text by
+    its SHA-256 digest, so that long texts do not travel: 32 bytes per value do.
     """
-    names = [f"`{c}`" for c in columns or df.columns]
-    hashed = df.select(*names, F.xxhash64(*names).alias("_hash"))
-    by_hash = row_counts(hashed, ["_hash"], "n")
-    suspects = by_hash.filter(F.col("n") > 1).select("_hash")
-    groups = row_counts(hashed.join(suspects, "_hash", "left_semi"), names, "n")
-
-    totals = by_hash.agg(F.sum("n").alias("total"), F.lit(0).cast("long").alias("later_rows"))
-    repeats = groups.agg(
-        F.lit(0).cast("long").alias("total"), F.sum(F.col("n") - 1).alias("later_rows")
-    )
-    return totals.unionByName(repeats).agg(
-        F.coalesce(F.sum("total"), F.lit(0)).alias("total"),
-        F.coalesce(F.sum("later_rows"), F.lit(0)).alias("later_rows"),
+    fields = [df.schema[c] for c in columns or df.columns]
+    compared = [
+        F.unhex(F.sha2(F.col(f"`{f.name}`"), 256)).alias(f.name)
+        if digest_text and isinstance(f.dataType, StringType)
+        else F.col(f"`{f.name}`")
+        for f in fields
+    ]
+    groups = row_counts(df.select(*compared), [f"`{f.name}`" for f in fields], "n")
+    return groups.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
+        F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("later_rows"),
     )
 
 

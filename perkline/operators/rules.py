@@ -9,33 +9,43 @@ from perkline.fixed_values import COMMUTE_RULES, KNOWN_SPORTS
 from perkline.operators.matching import row_counts
 
 
+# A rule table is written out in the application, so its size is known before any
+# job runs. Up to this many rules it is sent to every task; a longer list is left
+# to the planner, which then measures it like any other table.
+MAX_BROADCAST_RULES = 10_000
+
+
+def _rule_table(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
+    table = pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()})
+    df = spark.createDataFrame(table)
+    return F.broadcast(df) if table.num_rows <= MAX_BROADCAST_RULES else df
+
+
 def commute_rules(
     spark: SparkSession, rules: dict[str, tuple[str, str]] | None = None
 ) -> DataFrame:
     """``(commute_mode, travel_mode, threshold_km)``, one row per mode."""
     rules = COMMUTE_RULES if rules is None else rules
-    table = pa.table(
-        {
-            "commute_mode": pa.array(list(rules), pa.string()),
-            "travel_mode": pa.array([r[0] for r in rules.values()], pa.string()),
-            "threshold_km": pa.array([r[1] for r in rules.values()], pa.string()),
-        }
-    )
-    return spark.createDataFrame(table).withColumn(
+    columns = {
+        "commute_mode": list(rules),
+        "travel_mode": [mode for mode, _ in rules.values()],
+        "threshold_km": [limit for _, limit in rules.values()],
+    }
+    return _rule_table(spark, columns).withColumn(
         "threshold_km", F.col("threshold_km").cast("decimal(10,2)")
     )
 
 
 def known_sports(spark: SparkSession, sports: tuple[str, ...] = KNOWN_SPORTS) -> DataFrame:
-    return spark.createDataFrame(pa.table({"sport_type": pa.array(sports, pa.string())}))
+    return _rule_table(spark, {"sport_type": list(sports)})
 
 
 def look_up(df: DataFrame, rules: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to rules by key.
 
-    Rule tables made above are literals in the plan: their size is known exactly and
-    does not grow with the data, so the join needs no shuffle of ``df``. A rule
-    table that is read from storage is broadcast only if its measured size allows.
+    Few keys with very many rows each are normal here. With a rule table made above
+    ``df`` is not shuffled, so that does not matter; a rule table read from storage
+    is broadcast only if its measured size allows, and a hot key is split otherwise.
     """
     return df.join(rules, key, how)
 

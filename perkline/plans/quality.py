@@ -92,9 +92,10 @@ def source_quality(
     """Eight blocking counters, and volume and threshold figures for information.
 
     Everything about employees and profiles is asked of (employee, sport) pairs
-    with their number of rows, so a busy employee joins as a few rows.
+    with their number of rows, so a busy employee joins as a few rows. The joins
+    leave the pairs placed by employee, which the sums per employee reuse.
     """
-    start, end = F.col("start_datetime"), F.col("end_datetime")
+    start, end, n = F.col("start_datetime"), F.col("end_datetime"), F.col("n")
     rows = tidy(
         activities.agg(
             F.count(F.lit(1)).alias("total"),
@@ -111,28 +112,31 @@ def source_quality(
     known = employees.select("employee_id", F.lit(True).alias("known"))
     declared = profile.select("employee_id", F.col("sport_type").alias("declared"))
     compared = pairs.join(known, "employee_id", "left").join(declared, "employee_id", "left")
-    n = F.col("n")
+    per_employee = compared.groupBy("employee_id").agg(
+        F.sum(n).alias("n"),
+        F.sum(F.when(F.col("known").isNull(), n)).alias("unknown"),
+        F.sum(F.when(F.col("sport_type") != F.col("declared"), n)).alias("inconsistent"),
+        F.sum(F.when(F.col("declared").isNull(), n)).alias("undeclared"),
+    )
     people = tidy(
-        compared.agg(
-            F.sum(F.when(F.col("known").isNull(), n)).alias("unknown_employees"),
-            F.sum(F.when(F.col("sport_type") != F.col("declared"), n)).alias("inconsistent_sports"),
-            F.sum(F.when(F.col("declared").isNull(), n)).alias("activities_without_profile"),
-            F.countDistinct("employee_id").alias("employees_with_activity"),
-            F.countDistinct("sport_type").alias("sports_count"),
+        per_employee.agg(
+            F.sum("unknown").alias("unknown_employees"),
+            F.sum("inconsistent").alias("inconsistent_sports"),
+            F.sum("undeclared").alias("activities_without_profile"),
+            F.count("employee_id").alias("employees_with_activity"),
+            F.count_if(n < min_activities).alias("below_threshold"),
+            F.count_if(n >= min_activities).alias("at_least_threshold"),
         ),
-        informative=["employees_with_activity", "sports_count"],
+        informative=["employees_with_activity", "below_threshold", "at_least_threshold"],
     )
-    threshold = tidy(
-        counts_of_counts(activities, "employee_id", min_activities).select(
-            "below_threshold", "at_least_threshold"
-        ),
-        informative=["below_threshold", "at_least_threshold"],
+    sports = tidy(
+        pairs.agg(F.countDistinct("sport_type").alias("sports_count")), informative=["sports_count"]
     )
     return all_checks(
         rows,
         key_counts(activities, list(NATURAL_KEY), "duplicates", "repeated_keys"),
         people,
-        threshold,
+        sports,
     )
 
 

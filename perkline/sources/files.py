@@ -7,14 +7,15 @@ from pyspark.sql.types import StructType
 
 
 def read_delimited(
-    spark: SparkSession, path: str, schema: StructType, null_value: str = "", **options: str
+    spark: SparkSession, path: str, schema: StructType | None = None, **options: str
 ) -> DataFrame:
-    """One file or a folder of files with a header row and a declared schema."""
-    return (
-        spark.read.schema(schema)
-        .options(header="true", encoding="UTF-8", nullValue=null_value, mode="FAILFAST", **options)
-        .csv(path)
-    )
+    """One file or a folder of files with a header row.
+
+    Without a schema every column is text: types are given by the ingest that
+    follows, and no pass over the data is spent on guessing them.
+    """
+    reader = spark.read.options(header="true", encoding="UTF-8", mode="FAILFAST", **options)
+    return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
 def write_delimited(df: DataFrame, path: str) -> None:

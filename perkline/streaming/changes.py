@@ -40,21 +40,20 @@ def parse_envelopes(
     of NULLs. For a delete, the key is taken from ``before``. ``carry`` names
     columns of the message to keep, such as its position.
     """
-    parsed = messages.select(
-        *carry, F.from_json(F.col("value").cast("string"), envelope(id_type)).alias("event")
-    )
-    fields = parsed.select(
+    event = F.from_json(F.col("value").cast("string"), envelope(id_type))
+    # A one-element explode: later filters stay above it, so that the text is parsed
+    # once per message and not once more for every use in a filter.
+    parsed = messages.select(*carry, F.explode(F.array(event)).alias("event"))
+    old_id, operation = F.col("event.payload.before.activity_id"), F.col("event.payload.op")
+    new_id = F.col("event.payload.after.activity_id")
+    return parsed.select(
         *carry,
-        "event.payload.after.*",
-        F.col("event.payload.before.activity_id").alias("_old_id"),
-        F.col("event.payload.op").alias("operation"),
-    )
-    return fields.withColumn(
-        "activity_id",
-        F.when(F.col("operation") == fixed.OP_DELETE, F.coalesce("activity_id", "_old_id")).otherwise(
-            F.col("activity_id")
+        F.when(operation == fixed.OP_DELETE, F.coalesce(new_id, old_id)).otherwise(new_id).alias(
+            "activity_id"
         ),
-    ).drop("_old_id")
+        *[F.col(f"event.payload.after.{c}").alias(c) for c in ACTIVITY_COLUMNS[1:]],
+        operation.alias("operation"),
+    )
 
 
 def only(changes: DataFrame, operations: Sequence[str] = (fixed.OP_CREATE,)) -> DataFrame:
@@ -132,7 +131,12 @@ def applied(
 
     ``changes`` has the table's columns, ``operation`` and the ``order`` columns.
     """
-    last = latest_per_key(changes.filter(F.col(key).isNotNull()), key, order)
+    known = changes.filter(F.col(key).isNotNull())
+    return applied_latest(table, latest_per_key(known, key, order), key)
+
+
+def applied_latest(table: DataFrame, last: DataFrame, key: str = "activity_id") -> DataFrame:
+    """The same for changes that are already one per key."""
     kept = table.join(last.select(key), key, "left_anti")
     written = last.filter(F.col("operation") != fixed.OP_DELETE)
     return kept.select(*table.columns).unionByName(written.select(*table.columns))
@@ -163,12 +167,18 @@ def apply_stream(
         changes = typed(
             only(parse_envelopes(batch, order, id_type), operations), ("operation", *order)
         )
-        if catalog_table is not None:
-            rows = latest_per_key(changes, "activity_id", order).select(*ACTIVITY_COLUMNS)
-            merge_catalog(rows, catalog_table, ["activity_id"])
-            return
-        table = read_published(batch.sparkSession, path)
-        publish(applied(table, changes, order=order), path)
+        last = latest_per_key(changes, "activity_id", order).persist()
+        try:
+            # Counted first, so that the planner knows the measured size of the batch
+            # and need not shuffle a large table to meet a small batch.
+            last.count()
+            if catalog_table is not None:
+                merge_catalog(last.select(*ACTIVITY_COLUMNS), catalog_table, ["activity_id"])
+            else:
+                table = read_published(batch.sparkSession, path)
+                publish(applied_latest(table, last), path)
+        finally:
+            last.unpersist()
 
     return each_batch(messages, on_batch, checkpoint, once, interval)
 

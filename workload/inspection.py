@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import functions as F
 
 from perkline.functions.periods import in_window
@@ -117,6 +119,24 @@ def _(spark, sf_dir):
     return verdict(_source_quality(spark, sf_dir))
 
 
+@query(
+    "source_quality_within",
+    _SOURCE,
+    _SOURCE_CHECKS.replace("2025-01-24 00:00:00", "2024-01-20 06:30:00").replace(
+        "2024-01-24 00:00:00", "2023-01-20 00:00:00"
+    )
+    + "SELECT * FROM checks",
+)
+def _(spark, sf_dir):
+    # Seen from the middle of the period: some activities end in the future, none is too old.
+    return quality.source_quality(
+        roles.recorded(spark, sf_dir),
+        roles.accepted_employees(spark, sf_dir),
+        roles.sport_profile(spark, sf_dir),
+        dt.datetime(2024, 1, 20, 6, 30),
+    )
+
+
 @query(
     "load_gate",
     ("recorded",),
@@ -402,7 +422,7 @@ def _(spark, sf_dir):
 SELECT count(*) AS total, count(*) - count(DISTINCT text) AS later_rows FROM documents""",
 )
 def _(spark, sf_dir):
-    return repeated_rows(roles.table(spark, sf_dir, "documents"), ["text"])
+    return repeated_rows(roles.table(spark, sf_dir, "documents"), ["text"], digest_text=True)
 
 
 @query(
@@ -510,6 +530,42 @@ def _(spark, sf_dir):
     return people.audit(documents, roles.table(spark, sf_dir, "labels"), "doc_id")
 
 
+@query(
+    "people_audit",
+    ("recorded", "sport_profile"),
+    """
+SELECT 'rows' AS section, 'left' AS item, count(*) AS value FROM recorded
+UNION ALL SELECT 'rows', 'right', count(*) FROM sport_profile
+UNION ALL SELECT 'columns', 'left', 7
+UNION ALL SELECT 'columns', 'right', 2
+UNION ALL SELECT 'repeated_rows', 'left', (SELECT count(*) FROM recorded) - (SELECT count(*) FROM (SELECT DISTINCT * FROM recorded))
+UNION ALL SELECT 'repeated_rows', 'right', (SELECT count(*) FROM sport_profile) - (SELECT count(*) FROM (SELECT DISTINCT * FROM sport_profile))
+UNION ALL SELECT 'repeated_keys', 'left', (SELECT count(*) FROM recorded) - (SELECT count(*) FROM (SELECT DISTINCT employee_id FROM recorded))
+UNION ALL SELECT 'repeated_keys', 'right', count(*) - count(DISTINCT employee_id) FROM sport_profile
+"""
+    + "".join(
+        f"UNION ALL SELECT 'nulls', '{side}.{c}', count(*) - count({c}) FROM {t}\n"
+        for side, t, cols in (
+            (
+                "left",
+                "recorded",
+                "activity_id employee_id start_datetime sport_type distance_meters end_datetime comment",
+            ),
+            ("right", "sport_profile", "employee_id sport_type"),
+        )
+        for c in cols.split()
+    )
+    + """UNION ALL SELECT 'missing_keys', 'right', count(*) FROM (
+  SELECT DISTINCT employee_id FROM recorded EXCEPT SELECT employee_id FROM sport_profile) HAVING count(*) > 0
+UNION ALL SELECT 'missing_keys', 'left', count(*) FROM (
+  SELECT employee_id FROM sport_profile EXCEPT SELECT employee_id FROM recorded) HAVING count(*) > 0""",
+)
+def _(spark, sf_dir):
+    return people.audit(
+        roles.recorded(spark, sf_dir), roles.sport_profile(spark, sf_dir), "employee_id"
+    )
+
+
 @query("top_k_latest", (), "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 5")
 def _(spark, sf_dir):
     return largest(roles.table(spark, sf_dir, "orders"), ["o_orderkey"], 5)
