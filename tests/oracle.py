@@ -55,9 +55,8 @@ def _rows(names, rows):
     return Counter(tuple(_plain(r[i]) for i in order) for r in rows)
 
 
-def differences(spark, con, query, sf_dir: str) -> tuple[int, list[str]]:
-    """Number of rows, and what differs (empty: the same)."""
-    df = query.build(spark, sf_dir)
+def differences(df, con, query) -> tuple[int, list[str]]:
+    """Number of rows of ``df``, and what differs from the query's SQL (empty: the same)."""
     answer = con.execute(query.sql)
     names = [d[0] for d in answer.description]
     found = []
@@ -92,7 +91,7 @@ def main() -> int:
     for name in wanted:
         started = time.time()
         try:
-            rows, found = differences(spark, con, QUERIES[name], sf_dir)
+            rows, found = differences(QUERIES[name].build(spark, sf_dir), con, QUERIES[name])
         except Exception as error:  # report and go on with the next query
             rows, found = 0, [f"{type(error).__name__}: {str(error)[:600]}"]
         bad += bool(found)

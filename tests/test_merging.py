@@ -1,0 +1,149 @@
+"""Upserts, deletes and published tables, against a plain Python model."""
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from perkline.operators.checks import QualityError
+from perkline.operators.merging import (
+    delete_published,
+    merge_published,
+    merged,
+    with_keys,
+    without_keys,
+)
+from perkline.sources import tables
+
+SCHEMA = "k int, a string, b int"
+
+
+def model(target, source, update=None):
+    """Dict of rows after an upsert by the first column; keys are not NULL here."""
+    names = ["k", "a", "b"]
+    after = {r[0]: dict(zip(names, r)) for r in target}
+    for row in source:
+        new = dict(zip(names, row))
+        if row[0] in after and update is not None:
+            after[row[0]] |= {c: new[c] for c in update}
+        else:
+            after[row[0]] = new
+    return sorted(tuple(r[n] for n in names) for r in after.values())
+
+
+def plain(df):
+    return sorted((tuple(r) for r in df.select("k", "a", "b").collect()), key=repr)
+
+
+@pytest.mark.parametrize("update", [None, ["b"], ["a", "b"]])
+def test_upsert_equals_model(spark, update):
+    random.seed(3)
+    target = [(k, f"t{k}", k) for k in random.sample(range(200), 80)]
+    source = [(k, f"s{k}", -k) for k in random.sample(range(200), 80)]
+    found = merged(
+        spark.createDataFrame(target, SCHEMA), spark.createDataFrame(source, SCHEMA), ["k"], update
+    )
+    assert sorted(plain(found)) == model(target, source, update)
+
+
+def test_null_keys_match_nothing(spark):
+    target = spark.createDataFrame([(None, "old", 1), (1, "old", 1)], SCHEMA)
+    source = spark.createDataFrame([(None, "new", 2), (1, None, None)], SCHEMA)
+    whole = plain(merged(target, source, ["k"]))
+    assert whole == sorted([(None, "old", 1), (None, "new", 2), (1, None, None)], key=repr)
+    # A matched row takes the source's NULLs too.
+    assert plain(merged(target, source, ["k"], ["a", "b"])) == whole
+
+
+def test_unlisted_columns_stay_and_are_null_for_new_rows(spark):
+    target = spark.createDataFrame([(1, "keep", 1)], SCHEMA)
+    source = spark.createDataFrame([(1, 10), (2, 20)], "k int, b int")
+    assert plain(merged(target, source, ["k"], ["b"])) == [(1, "keep", 10), (2, None, 20)]
+    with pytest.raises(ValueError, match="source lacks"):
+        merged(target, source, ["k"], ["a"])
+
+
+def test_composite_keys(spark):
+    target = spark.createDataFrame([(1, "x", 1), (1, "y", 1), (2, None, 1)], SCHEMA)
+    source = spark.createDataFrame([(1, "y", 9), (2, None, 9), (2, "x", 9)], SCHEMA)
+    found = plain(merged(target, source, ["k", "a"], ["b"]))
+    assert found == sorted(
+        [(1, "x", 1), (1, "y", 9), (2, None, 1), (2, None, 9), (2, "x", 9)], key=repr
+    )
+
+
+def test_delete_and_preview(spark):
+    target = spark.createDataFrame([(k, "r", k) for k in range(6)] + [(None, "r", 0)], SCHEMA)
+    doomed = spark.createDataFrame([(1,), (4,), (99,), (None,)], "k int")
+    assert [r[0] for r in plain(with_keys(target, doomed, ["k"]))] == [1, 4]
+    assert len(plain(without_keys(target, doomed, ["k"]))) == 5
+
+
+def test_published_versions(spark, folder):
+    path = f"{folder}/t"
+    assert tables.published_version(spark, path) is None
+    with pytest.raises(FileNotFoundError):
+        tables.read_published(spark, path)
+    with pytest.raises(FileNotFoundError):
+        merge_published(spark, path, spark.createDataFrame([(1, "a", 1)], SCHEMA), ["k"])
+
+    assert tables.publish(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA), path) == 1
+    before = tables.read_published(spark, path)
+    source = spark.createDataFrame([(2, "B", 20), (3, "C", 30)], SCHEMA)
+    assert merge_published(spark, path, source, ["k"]) == 2
+    assert merge_published(spark, path, source, ["k"]) == 3  # again: nothing changes
+    assert plain(tables.read_published(spark, path)) == [(1, "a", 1), (2, "B", 20), (3, "C", 30)]
+    # Who read the old version still reads all of it.
+    assert plain(before) == [(1, "a", 1), (2, "b", 2)]
+
+    assert delete_published(spark, path, spark.createDataFrame([(1,)], "k int"), ["k"]) == 4
+    assert plain(tables.read_published(spark, path)) == [(2, "B", 20), (3, "C", 30)]
+
+
+def test_repeated_source_key_is_refused_before_anything_is_written(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(1, "a", 1)], SCHEMA), path)
+    twice = spark.createDataFrame([(1, "x", 1), (1, "y", 1)], SCHEMA)
+    with pytest.raises(QualityError):
+        merge_published(spark, path, twice, ["k"])
+    assert tables.published_version(spark, path) == 1
+
+
+def test_a_writer_that_dies_leaves_the_old_version(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(1, "a", 1)], SCHEMA), path)
+    broken = spark.createDataFrame([(2, "b", 2)], SCHEMA).withColumn(
+        "b", F.when(F.col("k") == 2, F.raise_error(F.lit("lost"))).otherwise(F.col("b")).cast("int")
+    )
+    with pytest.raises(Exception, match="lost"):
+        tables.publish(broken, path)
+    # Data without a commit record, as after a crash between the two writes.
+    tables.write_table(spark.createDataFrame([(9, "z", 9)], SCHEMA), f"{path}/data/00000002-stray")
+    assert plain(tables.read_published(spark, path)) == [(1, "a", 1)]
+    assert tables.publish(spark.createDataFrame([(3, "c", 3)], SCHEMA), path) == 2
+    assert plain(tables.read_published(spark, path)) == [(3, "c", 3)]
+
+
+def test_two_writers_cannot_publish_one_version(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(1, "a", 1)], SCHEMA), path)
+    record = spark.createDataFrame([("elsewhere",)], "folder string")
+    record.write.json(f"{tables.commits_path(path)}/version=2")
+    with pytest.raises(Exception):
+        record.write.mode("errorifexists").json(f"{tables.commits_path(path)}/version=2")
+
+
+def test_replacing_a_table_may_change_its_columns(spark, folder):
+    path = f"{folder}/t"
+    tables.write_table(spark.range(3), path)
+    tables.write_table(
+        spark.range(2).withColumn("more", F.lit("x")), path, replace_schema=True, partition_by=("more",)
+    )
+    assert rows(tables.read_table(spark, path)) == [
+        (("id", 0), ("more", "x")),
+        (("id", 1), ("more", "x")),
+    ]
+    one_more = spark.range(1).withColumn("more", F.lit("y"))
+    tables.write_table(one_more, path, mode="append", partition_by=("more",))
+    assert tables.read_table(spark, path).count() == 3
