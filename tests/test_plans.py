@@ -45,6 +45,14 @@ def scans(plan):
     return [line for line in plan.splitlines() if "FileScan" in line]
 
 
+@pytest.mark.parametrize("size", ["0.001", "0.01", "0.1"])
+def test_declared_columns_are_those_of_the_files(spark, size):
+    for name in roles.SCHEMAS:
+        path = f"/root/testdata/sf{size}"
+        found = spark.read.parquet(f"{path}/{name}.parquet").schema
+        assert roles.table(spark, path, name).schema == found
+
+
 def test_window_reaches_the_scan(spark):
     plan = plan_of(benefits.wellbeing_eligibility(roles.activities(spark, SF_DIR), roles.AS_OF))
     (scan,) = scans(plan)

@@ -357,8 +357,8 @@ def _(spark, sf_dir):
 
 
 def _event_stream(spark, sf_dir):
-    schema = roles.table(spark, sf_dir, "events").schema
-    return read_stream(spark, "parquet", sf_dir, schema, pathGlobFilter="events.parquet")
+    # A pattern, so that the table may be one file or a folder of files.
+    return read_stream(spark, "parquet", f"{sf_dir}/events.parque[t]", roles.SCHEMAS["events"])
 
 
 @query("stream_ingest", ("changes", "created"), "SELECT * FROM created")
