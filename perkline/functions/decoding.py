@@ -9,15 +9,15 @@ from pyspark.sql import Column, functions as F
 _LONG_BYTES = 8
 
 
-def micros_to_timestamp(micros: Column, truncate: str | None = None) -> Column:
+def micros_to_timestamp(micros: Column, whole_seconds: bool = False) -> Column:
     """Micro-epoch to a timestamp without zone; NULL stays NULL.
 
-    The fraction is kept. ``truncate="second"`` drops it, for results that have to
-    match a table written by a second-precision ingest.
+    The fraction is kept. ``whole_seconds`` drops it, for results that have to match a
+    table written by a second-precision ingest. The session's time zone has no part in it.
     """
-    epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
-    value = F.timestamp_add("MICROSECOND", micros, epoch)
-    return value if truncate is None else F.date_trunc(truncate, value).cast("timestamp_ntz")
+    if whole_seconds:
+        micros = micros - F.pmod(micros, F.lit(1_000_000))
+    return F.timestamp_add("MICROSECOND", micros, F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"))
 
 
 def unscaled_integer(encoded: Column) -> Column:

@@ -9,11 +9,11 @@ format has row-level updates and rewrites only the files it touches.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkline.operators.checks import require_unique
-from perkline.operators.matching import same_key
 from perkline.sources.tables import publish, read_published
 
 
@@ -98,10 +98,10 @@ def merge_catalog(
 ) -> None:
     """The same upsert as a native MERGE, for table formats that offer it."""
     require_unique(source, keys, "merge source")
-    on = same_key(source.sparkSession.table(table), source, list(keys))
-    merge = source.mergeInto(table, on)
+    same = [F.col(f"source.{k}") == F.col(f"{table}.{k}") for k in keys]
+    merge = source.alias("source").mergeInto(table, reduce(lambda a, b: a & b, same))
     if update is None:
         merge = merge.whenMatched().updateAll()
     else:
-        merge = merge.whenMatched().update({c: source[c] for c in update})
+        merge = merge.whenMatched().update({c: F.col(f"source.{c}") for c in update})
     merge.whenNotMatched().insertAll().merge()

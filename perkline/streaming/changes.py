@@ -66,18 +66,18 @@ def only(changes: DataFrame, operations: Sequence[str] = (fixed.OP_CREATE,)) ->
 def typed(
     changes: DataFrame,
     extra: Sequence[str] = (),
-    truncate: str | None = None,
+    whole_seconds: bool = False,
     keep_encoded: bool = False,
 ) -> DataFrame:
-    """Wire types to table types. ``truncate="second"`` drops fractions of a second;
+    """Wire types to table types. ``whole_seconds`` drops fractions of a second;
     ``keep_encoded`` keeps the distance as it travelled in ``encoded_distance``."""
     columns: list[Column] = [
         F.col("activity_id"),
         F.col("employee_id"),
-        micros_to_timestamp(F.col("start_datetime"), truncate).alias("start_datetime"),
+        micros_to_timestamp(F.col("start_datetime"), whole_seconds).alias("start_datetime"),
         F.col("sport_type"),
         connect_decimal(F.col("distance_meters")).alias("distance_meters"),
-        micros_to_timestamp(F.col("end_datetime"), truncate).alias("end_datetime"),
+        micros_to_timestamp(F.col("end_datetime"), whole_seconds).alias("end_datetime"),
         F.col("comment"),
     ]
     if keep_encoded:
@@ -86,10 +86,10 @@ def typed(
 
 
 def created_activities(
-    messages: DataFrame, truncate: str | None = None, id_type: DataType | None = None
+    messages: DataFrame, whole_seconds: bool = False, id_type: DataType | None = None
 ) -> DataFrame:
     """Typed rows of the creations in a topic: the rows an ingest appends."""
-    return typed(only(parse_envelopes(messages, id_type=id_type)), truncate=truncate)
+    return typed(only(parse_envelopes(messages, id_type=id_type)), whole_seconds=whole_seconds)
 
 
 def ingest(
@@ -98,12 +98,12 @@ def ingest(
     checkpoint: str,
     fmt: str = "parquet",
     once: bool = False,
-    truncate: str | None = None,
+    whole_seconds: bool = False,
     id_type: DataType | None = None,
 ) -> StreamingQuery:
     """Append the creations of a topic to a table; a restart goes on where it stopped."""
     return append_stream(
-        created_activities(messages, truncate, id_type), path, checkpoint, fmt, once
+        created_activities(messages, whole_seconds, id_type), path, checkpoint, fmt, once
     )
 
 

@@ -57,7 +57,7 @@ def test_micro_timestamps(spark):
         dt.datetime(1969, 12, 31, 23, 59, 59, 999999),
         None,
     ]
-    assert column(spark, micros[:1], "long", lambda c: decoding.micros_to_timestamp(c, "second")) == [
+    assert column(spark, micros[:1], "long", lambda c: decoding.micros_to_timestamp(c, whole_seconds=True)) == [
         dt.datetime(2026, 9, 27, 2, 15, 3)
     ]
 

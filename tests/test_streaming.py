@@ -82,7 +82,7 @@ def test_only_creations_with_a_key_come_through(spark):
     assert {r["activity_id"]: r["operation"] for r in every.collect()} == {
         1: "c", 2: "u", 3: "d", 4: "r", 5: "c", 6: "c"
     }
-    whole_seconds = changes.created_activities(batch, truncate="second").first()
+    whole_seconds = changes.created_activities(batch, whole_seconds=True).first()
     assert whole_seconds["start_datetime"] == T0.replace(microsecond=0)
 
 
@@ -208,6 +208,44 @@ def test_failed_recomputation_is_tried_again(spark, folder):
     assert seen == ["failed", 3, 3]
 
 
+def test_first_version_after_an_empty_start_is_recomputed(spark, folder):
+    path, seen = f"{folder}/table", []
+
+    def run():
+        recompute_on_change(
+            version_stream(spark, path),
+            lambda s: seen.append(tables.read_published(s, path).count()),
+            f"{folder}/progress",
+            adopt_current=True,
+            once=True,
+        ).awaitTermination()
+
+    run()  # there is no table yet
+    assert seen == []
+    tables.publish(spark.range(4), path)
+    run()
+    run()
+    assert seen == [4]
+
+
+def test_running_watch_picks_up_a_new_version(spark, folder):
+    path, seen = f"{folder}/table", []
+    tables.publish(spark.range(1), path)
+    query = recompute_on_change(
+        version_stream(spark, path),
+        lambda s: seen.append(tables.read_published(s, path).count()),
+        f"{folder}/progress",
+        adopt_current=True,
+        interval="1 second",
+    )
+    try:
+        tables.publish(spark.range(2), path)
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert seen == [2]
+
+
 def test_several_versions_make_one_recomputation(spark, folder):
     path = f"{folder}/table"
     for n in (1, 2, 3):

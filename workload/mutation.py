@@ -229,7 +229,7 @@ SELECT * REPLACE (date_trunc('second', start_datetime) AS start_datetime,
                   date_trunc('second', end_datetime) AS end_datetime) FROM created""",
 )
 def _(spark, sf_dir):
-    return cdc.created_activities(roles.messages(spark, sf_dir), truncate="second", id_type=LONG)
+    return cdc.created_activities(roles.messages(spark, sf_dir), whole_seconds=True, id_type=LONG)
 
 
 @query(
