@@ -64,7 +64,6 @@ MESSAGE_COMMENT = "\n💬 %s"
 DISPLAY_TIMESTAMP = "dd/MM/yyyy HH:mm:ss"
 
 # --- Change data ----------------------------------------------------------
-ACTIVITY_TOPIC = "sport-data.public.activities"
 OP_CREATE = "c"
 OP_UPDATE = "u"
 OP_SNAPSHOT = "r"

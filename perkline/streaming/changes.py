@@ -138,7 +138,7 @@ def applied(
 def applied_latest(table: DataFrame, last: DataFrame, key: str = "activity_id") -> DataFrame:
     """The same for changes that are already one per key."""
     kept = table.join(last.select(key), key, "left_anti")
-    written = last.filter(F.col("operation") != fixed.OP_DELETE)
+    written = last.filter(~F.col("operation").eqNullSafe(fixed.OP_DELETE))
     return kept.select(*table.columns).unionByName(written.select(*table.columns))
 
 

@@ -171,6 +171,16 @@ def test_default_application_takes_creations_only_and_may_be_repeated(spark, fol
         changes.apply_stream(None, target, "x", operations=("d",), catalog_table="t")
 
 
+def test_only_a_delete_deletes(spark):
+    table = spark.createDataFrame([(1, "old"), (2, "old"), (3, "old")], "activity_id int, v string")
+    batch = spark.createDataFrame(
+        [(1, "new", None, 1), (2, "new", "d", 1), (None, "new", "c", 1), (4, "a", "c", 1), (4, "b", "u", 2)],
+        "activity_id int, v string, operation string, offset int",
+    )
+    found = {r["activity_id"]: r["v"] for r in changes.applied(table, batch, order=["offset"]).collect()}
+    assert found == {1: "new", 3: "old", 4: "b"}
+
+
 def test_backfill_lets_the_source_win(spark):
     streamed = changes.created_activities(messages(spark, envelope("c", after(1)), envelope("c", after(2))))
     history = streamed.filter("activity_id = 2").withColumn("sport_type", F.lit("Judo"))
