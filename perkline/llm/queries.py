@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import chat, decontamination, mixing, ngram_join, sharding
+from perkline.llm import chat, decontamination, mixing, ngram_join, quality, sharding
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -34,11 +34,12 @@ def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op2_sharding")
 def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    crc = F.crc32(F.coalesce("text", F.lit("")).cast("binary"))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", crc.alias("text_crc32"))
     return sharding.shard_documents(docs).select(
         "doc_id",
         "size",
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        "text_crc32",
         F.lit("bytes").alias("law"),
         "shard",
         "slot",
@@ -46,6 +47,14 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return quality.judge(docs).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
