@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import chat, decontamination, mixing, ngram_join, quality, sharding
+from perkline.llm import chat, decontamination, mixing, ngram_join, quality, sharding, urls, warc
+from perkline.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -146,3 +147,29 @@ def op10_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2("learned", 256).alias("loss_sha256"),
         "formatted_chars",
     )
+
+
+@query("op6_urls")
+def op6_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    return urls.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+OP8_SQL = """
+SELECT page_id, payload_bytes, payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to
+FROM (
+  SELECT page_id, octet_length(encode(coalesce(html, '')))::BIGINT AS payload_bytes, sha1(coalesce(html, '')) AS payload_digest,
+    CASE WHEN octet_length(encode(coalesce(html, ''))) >= 1000 AND page_id <> max(page_id) OVER (PARTITION BY coalesce(html, ''))
+      THEN max(page_id) OVER (PARTITION BY coalesce(html, '')) END AS refers_to
+  FROM pages)
+"""
+
+
+@query("op8_warc", OP8_SQL)
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_dir(spark, "warc")
+    manifest = warc.write_archives(table(spark, sf_dir, "pages"), folder)
+    return warc.read_archives(manifest, folder).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )
