@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import chat, decontamination, mixing, ngram_join, quality, sharding, urls, warc
+from perkline.llm import chat, decontamination, mixing, ngram_join, pii, quality, sharding, urls, warc
 from perkline.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -173,3 +173,15 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_archives(manifest, folder).select(
         "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
     )
+
+
+@query("op5_pii")
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
+        F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
+        pii.spans_text(F.col("found")).alias("spans"),
+    )
