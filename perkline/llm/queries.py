@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import chat, decontamination, mixing, ngram_join, pii, quality, sharding, urls, warc
+from perkline.llm import chat, decontamination, language, mixing, ngram_join, pii, quality, sharding, urls, warc
 from perkline.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -185,3 +185,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
         pii.spans_text(F.col("found")).alias("spans"),
     )
+
+
+@query("op4_language")
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    predicted = language.identify(docs, language.train(docs))
+    return predicted.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
