@@ -221,3 +221,11 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
             F.col("n_hit").isNotNull().alias("contaminated"),
         )
     )
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
+    """The documents that share no window with an item."""
+    _, spans = contaminated_spans(docs, benchmark, span, gram)
+    found = spans.select(F.col("key").alias("_key")).distinct()
+    key = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
+    return docs.withColumn("_key", key).join(found, "_key", "left_anti").select(*docs.columns)

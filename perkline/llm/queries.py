@@ -30,7 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op1_ngram_join")
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.ngram_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    joined = ngram_join.ngram_join(table(spark, sf_dir, "documents"), n=4, percent=85)
+    return joined.select("doc_id", "n_shingles", "component_id")
 
 
 @query("op2_sharding")
