@@ -137,6 +137,8 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.01
     def assigned(df: DataFrame) -> DataFrame:
         by_key = F.lit(0)
         for bound in bounds:
+            if bound >> KEY_BITS:  # above every key
+                continue
             by_key = by_key + (F.col("_key") >= bound).cast("int")
         fine = F.when(F.col("_placed").isNull(), F.shiftright("_key", KEY_BITS - FINE_BITS)).otherwise(
             F.pmod(F.col("_own"), F.lit(1 << FINE_BITS))
