@@ -32,6 +32,8 @@ KNOWN_SPORTS = (
 )
 
 # --- Input file headers and corrections -----------------------------------
+AUDITED_HR_COLUMNS = ("BU", "Type de contrat", "Moyen de déplacement")
+AUDITED_SPORT_COLUMNS = ("Pratique d'un sport",)
 HR_HEADERS = {
     "ID salarié": "employee_id",
     "Nom": "last_name",

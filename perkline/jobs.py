@@ -6,15 +6,21 @@ Settings name where every table is::
 
     {"tables": {
         "employees":  {"kind": "published", "path": "s3a://…/employees"},
+        "activities": {"kind": "catalog", "table": "lake.activities"},
         "hr_file":    {"kind": "csv", "path": "…"},
-        "activities": {"kind": "path", "path": "…", "format": "delta"},
+        "commute_distances": {"kind": "path", "path": "…", "format": "parquet"},
         "source_activities": {"kind": "jdbc", "url": "jdbc:postgresql://…", "table": "public.activities",
                               "options": {"user": "…"}, "split": {"column": "activity_id", "partitions": 64}}},
-     "paths":  {"reports": "…", "checkpoints": "…"},
+     "paths":  {"reports": "…", "results": "…", "checkpoints": "…"},
+     "single_file_reports": true,
+     "apply_interval": "10 minutes",
      "topic":  {"format": "kafka", "options": {"kafka.bootstrap.servers": "…", "subscribe": "…",
                                                "startingOffsets": "latest"}}}
 
-``published`` tables can be upserted; ``path`` tables are read, appended to or replaced.
+What a kind allows besides reading: ``published`` and ``catalog`` (a table format with row-level updates)
+everything; ``path`` and ``jdbc`` appending; ``csv`` nothing. A job names the kinds it needs and
+refuses others before it reads anything. What a job returns is written whole to
+``results/<job>``.
 """
 
 from __future__ import annotations
@@ -22,39 +28,40 @@ from __future__ import annotations
 import argparse
 import datetime as dt
 import json
+import logging
 from collections.abc import Callable
 
+from py4j.protocol import Py4JError
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from perkline.operators.checks import (
-    QualityError,
-    all_checks,
-    enforce,
-    key_counts,
-    require_unique,
-    verdict,
-)
+from perkline import fixed_values as fixed
+from perkline.operators.checks import QualityError, all_checks, enforce, verdict
 from perkline.operators.comparing import against_expected, expected_metrics, metric_rows, volumes
-from perkline.operators.merging import delete_published, merge_published, with_keys
-from perkline.operators.profiling import largest
+from perkline.operators.merging import (
+    delete_catalog,
+    delete_published,
+    load_or_merge_published,
+    merge_catalog,
+    with_keys,
+)
+from perkline.operators.profiling import counts_by_month, frequencies, largest, rows_left
 from perkline.operators.rules import commute_rules, known_sports, uncovered
 from perkline.plans import benefits, commute, monitoring, people, quality, reporting
 from perkline.session import build_session
-from perkline.sources.files import read_delimited
+from perkline.sources.files import read_delimited, write_report
 from perkline.sources.jdbc import Database, Split, append_database, read_database
-from perkline.sources.streams import append_stream, read_stream
-from perkline.sources.tables import (
-    publish,
-    published_version,
-    read_published,
-    read_table,
-    write_table,
-)
+from perkline.sources.streams import read_stream
+from perkline.sources.tables import publish, read_published, read_table, write_table
 from perkline.streaming import changes
-from perkline.streaming.notifications import notifications
+from perkline.streaming.notifications import notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
 
 
+LOG = logging.getLogger(__name__)
+UPDATABLE = ("published", "catalog")
+
+
 class Context:
     """A session, the settings and the reference time of one run.
 
@@ -81,10 +88,19 @@ class Context:
     def checkpoint(self, job: str) -> str:
         return f"{self.path('checkpoints')}/{job}"
 
-    def read(self, table: str) -> DataFrame:
+    def needs(self, table: str, *kinds: str) -> dict:
+        """The place of a table whose kind must be one of ``kinds``."""
         place = self.place(table)
+        if place["kind"] not in kinds:
+            raise ValueError(f"table {table!r} is of kind {place['kind']!r}; needed: {' or '.join(kinds)}")
+        return place
+
+    def read(self, table: str) -> DataFrame:
+        place = self.needs(table, "published", "catalog", "jdbc", "csv", "path")
         if place["kind"] == "published":
             return read_published(self.spark, place["path"])
+        if place["kind"] == "catalog":
+            return self.spark.read.table(place["table"])
         if place["kind"] == "jdbc":
             split = Split(**place["split"]) if "split" in place else None
             db = Database(place["url"], place.get("options", {}))
@@ -96,28 +112,38 @@ class Context:
         )
 
     def replace(self, table: str, rows: DataFrame) -> None:
-        place = self.place(table)
+        place = self.needs(table, *UPDATABLE)
         if place["kind"] == "published":
             publish(rows, place["path"])
         else:
-            write_table(
-                rows, place["path"], "overwrite", place.get("format", "parquet"), replace_schema=True
-            )
+            rows.writeTo(place["table"]).overwrite(F.lit(True))
 
     def append(self, table: str, rows: DataFrame) -> None:
-        place = self.place(table)
+        place = self.needs(table, "jdbc", "path", "catalog")
         if place["kind"] == "jdbc":
             append_database(rows, Database(place["url"], place.get("options", {})), place["table"])
+        elif place["kind"] == "catalog":
+            rows.writeTo(place["table"]).append()
         else:
             write_table(rows, place["path"], "append", place.get("format", "parquet"))
 
     def upsert(self, table: str, rows: DataFrame, keys: list[str], update: list[str] | None = None) -> None:
-        path = self.place(table)["path"]
-        if published_version(self.spark, path) is None:
-            require_unique(rows, keys, f"first load of {table}")
-            publish(rows, path)
+        place = self.needs(table, *UPDATABLE)
+        if place["kind"] == "published":
+            load_or_merge_published(self.spark, place["path"], rows, keys, update)
+        else:
+            merge_catalog(rows, place["table"], keys, update)
+
+    def delete(self, table: str, doomed: DataFrame, keys: list[str]) -> None:
+        place = self.needs(table, *UPDATABLE)
+        if place["kind"] == "published":
+            delete_published(self.spark, place["path"], doomed, keys)
         else:
-            merge_published(self.spark, path, rows, keys, update)
+            delete_catalog(doomed, place["table"], keys)
+
+    def keep(self, name: str, result: DataFrame) -> str:
+        """A result, whole, in ``results/<name>``."""
+        return write_report(result, self.path("results"), name)
 
     def messages(self) -> DataFrame:
         topic = self.settings["topic"]
@@ -142,11 +168,20 @@ def job(name: str):
 
 @job("audit-files")
 def audit_files(run: Context) -> DataFrame:
-    return people.audit(run.read("hr_file"), run.read("sport_file"), "ID salarié")
+    """Counts; the missing ids and the frequency tables are results of their own."""
+    staff, sport = run.read("hr_file"), run.read("sport_file")
+    run.keep("missing-ids", people.missing_ids(staff, sport, "ID salarié"))
+    tables = people.frequency_table(staff, fixed.AUDITED_HR_COLUMNS, "left").unionByName(
+        people.frequency_table(sport, fixed.AUDITED_SPORT_COLUMNS, "right")
+    )
+    run.keep("frequencies", tables)
+    return people.audit(staff, sport, "ID salarié")
 
 
 @job("ingest-people")
 def ingest_people(run: Context) -> DataFrame:
+    run.needs("employees", *UPDATABLE)
+    run.needs("sport_profile", *UPDATABLE)
     staff = people.employees_from_file(run.read("hr_file"))
     run.upsert("employees", staff, ["employee_id"])
     profile = people.profile_from_file(run.read("sport_file"))
@@ -163,6 +198,7 @@ def ingest_people(run: Context) -> DataFrame:
 @job("validate-commutes")
 def validate_commutes(run: Context) -> DataFrame:
     """``commute_distances`` holds ``(employee_id, distance_km)``; NULL means no route."""
+    run.needs("commute_validation", *UPDATABLE)
     rules = commute_rules(run.spark)
     people_with_rule = commute.candidates(run.read("employees"), rules)
     asked = people_with_rule.join(run.read("commute_distances"), "employee_id", "left").select(
@@ -193,6 +229,7 @@ def check_sports(run: Context) -> DataFrame:
 @job("load-activities")
 def load_activities(run: Context) -> DataFrame:
     """Replace the history by ``new_activities`` if no essential rule is broken."""
+    run.needs("source_activities", *UPDATABLE)
     new = run.read("new_activities")
     enforce(quality.load_gate(new, run.as_of), "load of activities")
     run.replace("source_activities", new)
@@ -201,6 +238,11 @@ def load_activities(run: Context) -> DataFrame:
 
 @job("check-source")
 def check_source(run: Context) -> DataFrame:
+    """Counters; the period covered and the counts per sport and per month are results of their own."""
+    activities = run.read("source_activities")
+    run.keep("source-period", quality.activity_stats(activities))
+    run.keep("source-sports", frequencies(activities, "sport_type"))
+    run.keep("source-months", counts_by_month(activities, "start_datetime"))
     return quality.source_quality(
         run.read("source_activities"), run.read("employees"), run.read("sport_profile"), run.as_of
     )
@@ -208,7 +250,13 @@ def check_source(run: Context) -> DataFrame:
 
 @job("check-activities")
 def check_activities(run: Context) -> DataFrame:
-    return quality.activity_quality(run.read("activities"))
+    """Counters; statistics, verdict and counts per sport are results of their own."""
+    activities = run.read("activities")
+    checks = quality.activity_quality(activities)
+    run.keep("activity-stats", quality.activity_stats(activities))
+    run.keep("activity-sports", frequencies(activities, "sport_type"))
+    run.keep("activity-verdict", verdict(checks))
+    return checks
 
 
 @job("last-activities")
@@ -219,21 +267,22 @@ def last_activities(run: Context) -> DataFrame:
 @job("merge-history")
 def merge_history(run: Context) -> DataFrame:
     """Upsert the source's history; the report compares the numbers of rows."""
+    run.needs("activities", *UPDATABLE)
     source = run.read("source_activities")
-    path = run.place("activities")["path"]
-    merge_published(run.spark, path, source, ["activity_id"])
-    merged = run.read("activities")
-    enforce(key_counts(merged, ["activity_id"], "duplicates"), "merged activities")
-    return volumes(source, merged)
+    run.upsert("activities", source, ["activity_id"])
+    return volumes(source, run.read("activities"))
 
 
 @job("cleanup-activities")
 def cleanup_activities(run: Context) -> DataFrame:
-    """Delete the keys listed in ``doomed_activities``; reports what was deleted."""
-    doomed, path = run.read("doomed_activities"), run.place("activities")["path"]
-    victims = with_keys(run.read("activities"), doomed, ["activity_id"]).orderBy("activity_id")
-    delete_published(run.spark, path, doomed, ["activity_id"])
-    return victims
+    """Delete the keys listed in ``doomed_activities``; the rows themselves are kept in
+    ``results/deleted-activities`` first. Reports rows before and after, and the last key left."""
+    run.needs("activities", *UPDATABLE)
+    doomed, before = run.read("doomed_activities"), run.read("activities")
+    run.keep("deleted-activities", with_keys(before, doomed, ["activity_id"]))
+    rows_before = before.count()
+    run.delete("activities", doomed, ["activity_id"])
+    return rows_left(run.read("activities"), "activity_id").withColumn("rows_before", F.lit(rows_before))
 
 
 # --- Benefits ----------------------------------------------------------------------
@@ -249,12 +298,12 @@ def check_wellbeing(run: Context) -> DataFrame:
 @job("build-benefits")
 def build_benefits(run: Context) -> DataFrame:
     """Compute and store; the report compares the stored table with the expected figures, if given."""
-    run.replace(
-        "employee_benefits",
-        benefits.employee_benefits(
-            run.read("employees"), run.read("commute_validation"), run.read("activities"), run.as_of
-        ),
+    run.needs("employee_benefits", *UPDATABLE)
+    computed = benefits.employee_benefits(
+        run.read("employees"), run.read("commute_validation"), run.read("activities"), run.as_of
     )
+    run.keep("benefits-before-writing", metric_rows(benefits.benefits_totals(computed)))
+    run.replace("employee_benefits", computed)
     actual = metric_rows(benefits.benefits_totals(run.read("employee_benefits")))
     expected = run.settings.get("expected")
     return actual if expected is None else against_expected(actual, expected_metrics(run.spark, expected))
@@ -267,12 +316,17 @@ def export_reports(run: Context) -> None:
         run.read("activities"),
         run.path("reports"),
         run.settings.get("expected", {}).get("row_count"),
+        run.settings.get("single_file_reports", False),
     )
 
 
 @job("monitor")
 def monitor(run: Context) -> DataFrame:
-    """State of every component, and the quality counters appended to their history."""
+    """State of every component, and the quality counters appended to their history.
+
+    Whatever fails, all states are reported: a column that cannot be read or a history
+    that cannot be written makes the quality an ERROR.
+    """
     names = ("employees", "source_activities", "activities", "employee_benefits")
     counts = monitoring.component_counts({n: (lambda n=n: run.read(n)) for n in names})
     failed = counts["activities"] is None or counts["employee_benefits"] is None
@@ -281,7 +335,6 @@ def monitor(run: Context) -> DataFrame:
         history = monitoring.metric_history(metrics, dt.datetime.now(dt.UTC).replace(tzinfo=None))
         history = history.persist()
         try:
-            run.append("data_quality_metrics", history)
             failed = verdict(
                 history.select(
                     F.col("metric_name").alias("check_name"),
@@ -289,6 +342,10 @@ def monitor(run: Context) -> DataFrame:
                     F.lit(True).alias("blocking"),
                 )
             ).first()["verdict"] == "KO"
+            run.append("data_quality_metrics", history)
+        except (PySparkException, Py4JError, OSError, KeyError, ValueError):
+            LOG.exception("quality counters")
+            failed = True
         finally:
             history.unpersist()
     states = monitoring.component_status(counts, "source_activities", "activities", failed)
@@ -302,25 +359,32 @@ def monitor(run: Context) -> DataFrame:
 
 @job("ingest-changes")
 def ingest_changes(run: Context) -> None:
-    place = run.place("activities")
-    once = run.settings.get("once", False)
-    if place["kind"] == "published":
-        query = changes.apply_stream(
-            run.messages(), place["path"], run.checkpoint("ingest"), once=once
-        )
-    else:
+    place = run.needs("activities", "published", "catalog", "path")
+    once, interval = run.settings.get("once", False), run.settings.get("apply_interval", "10 minutes")
+    if place["kind"] == "path":
         query = changes.ingest(
             run.messages(), place["path"], run.checkpoint("ingest"), place.get("format", "parquet"), once
         )
+    else:
+        query = changes.apply_stream(
+            run.messages(),
+            place.get("path", ""),
+            run.checkpoint("ingest"),
+            catalog_table=place.get("table"),
+            once=once,
+            interval=interval,
+        )
     query.awaitTermination()
 
 
 @job("notify")
 def notify(run: Context) -> None:
-    notes = notifications(run.messages(), run.read("employees"))
-    append_stream(
-        notes,
-        run.place("notifications")["path"],
+    """Messages go to ``notifications``, activities of people not known then to ``unknown_people``."""
+    notify_stream(
+        run.messages(),
+        lambda spark: run.read("employees"),
+        run.needs("notifications", "path")["path"],
+        run.needs("unknown_people", "path")["path"],
         run.checkpoint("notify"),
         once=run.settings.get("once", False),
     ).awaitTermination()
@@ -329,13 +393,14 @@ def notify(run: Context) -> None:
 @job("watch")
 def watch(run: Context) -> None:
     """Rebuild and export after every change of the published activities."""
+    path = run.needs("activities", "published")["path"]
 
     def recompute(_: SparkSession) -> None:
         build_benefits(run)
         export_reports(run)
 
     recompute_on_change(
-        version_stream(run.spark, run.place("activities")["path"]),
+        version_stream(run.spark, path),
         recompute,
         run.checkpoint("watch"),
         adopt_current=True,
@@ -352,9 +417,13 @@ def main() -> None:
     with open(args.settings, encoding="utf-8") as file:
         settings = json.load(file)
     spark = build_session(f"perkline-{args.job}")
-    result = JOBS[args.job](Context(spark, settings, args.as_of))
+    run = Context(spark, settings, args.as_of)
+    result = JOBS[args.job](run)
     if result is not None:
-        result.show(100, truncate=False)
+        path = run.keep(args.job, result)
+        written = read_delimited(spark, path)
+        print(f"{written.count()} rows in {path}; the first of them:")
+        written.show(truncate=False)
     spark.stop()
 
 

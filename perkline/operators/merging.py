@@ -2,8 +2,11 @@
 
 ``merged`` and ``without_keys`` say what the table looks like afterwards and are
 plain DataFrames. ``merge_published``/``delete_published`` apply them to a
-published table; ``merge_catalog`` hands the same upsert to a catalog table whose
-format has row-level updates and rewrites only the files it touches.
+published table; ``merge_catalog``/``delete_catalog`` hand the same to a catalog
+table whose format has row-level updates and rewrites only the files it touches.
+
+A source may be in use while it is read, so what is checked and merged is one
+stored copy of it.
 """
 
 from __future__ import annotations
@@ -14,7 +17,8 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkline.operators.checks import require_unique
-from perkline.sources.tables import publish, read_published
+from perkline.session import shared_dir
+from perkline.sources.tables import publish, published_version, read_published
 
 
 def merged(
@@ -70,6 +74,13 @@ def with_keys(target: DataFrame, doomed: DataFrame, keys: Sequence[str]) -> Data
     return target.join(doomed.select(*keys), list(keys), "left_semi").select(*target.columns)
 
 
+def copied(source: DataFrame) -> DataFrame:
+    """``source`` read once and stored: later reads find the same rows, whatever happens to the source."""
+    path = shared_dir(source.sparkSession, "merge-source")
+    source.write.parquet(path)
+    return source.sparkSession.read.schema(source.schema).parquet(path)
+
+
 def merge_published(
     spark: SparkSession,
     path: str,
@@ -79,12 +90,30 @@ def merge_published(
 ) -> int:
     """Upsert into a published table and return its new version.
 
-    Refuses a source with a repeated key, and a table that was never published.
-    Repeating the call with the same source changes nothing.
+    Refuses a source with a repeated key, a table that was never published, and a
+    result with a repeated key. Repeating the call with the same source changes nothing.
     """
     target = read_published(spark, path)
+    source = copied(source)
     require_unique(source, keys, "merge source")
-    return publish(merged(target, source, keys, update), path)
+    return publish(
+        merged(target, source, keys, update),
+        path,
+        check=lambda rows: require_unique(rows, keys, "merged table"),
+    )
+
+
+def load_or_merge_published(
+    spark: SparkSession,
+    path: str,
+    source: DataFrame,
+    keys: Sequence[str],
+    update: Sequence[str] | None = None,
+) -> int:
+    """The same, where the table may not exist yet: then the source is its first version."""
+    if published_version(spark, path) is not None:
+        return merge_published(spark, path, source, keys, update)
+    return publish(source, path, check=lambda rows: require_unique(rows, keys, "first load"))
 
 
 def delete_published(
@@ -93,15 +122,35 @@ def delete_published(
     return publish(without_keys(read_published(spark, path), doomed, keys), path)
 
 
+def _matching(source: DataFrame, table: str, keys: Sequence[str]):
+    same = [F.col(f"source.{k}") == F.col(f"{table}.{k}") for k in keys]
+    return source.alias("source").mergeInto(table, reduce(lambda a, b: a & b, same))
+
+
 def merge_catalog(
     source: DataFrame, table: str, keys: Sequence[str], update: Sequence[str] | None = None
 ) -> None:
     """The same upsert as a native MERGE, for table formats that offer it."""
+    source = copied(source)
     require_unique(source, keys, "merge source")
-    same = [F.col(f"source.{k}") == F.col(f"{table}.{k}") for k in keys]
-    merge = source.alias("source").mergeInto(table, reduce(lambda a, b: a & b, same))
+    merge = _matching(source, table, keys)
     if update is None:
         merge = merge.whenMatched().updateAll()
     else:
         merge = merge.whenMatched().update({c: F.col(f"source.{c}") for c in update})
     merge.whenNotMatched().insertAll().merge()
+
+
+def delete_catalog(doomed: DataFrame, table: str, keys: Sequence[str]) -> None:
+    """Delete the keys in ``doomed`` natively."""
+    doomed = doomed.select(*keys).distinct()
+    _matching(doomed, table, keys).whenMatched().delete().merge()
+
+
+def change_catalog(last: DataFrame, table: str, key: str, columns: Sequence[str], delete: str) -> None:
+    """Apply changes that are one per key, natively: those with ``operation`` equal to ``delete`` remove
+    their row, the others replace or add it."""
+    gone = F.col("source.operation") == delete
+    values = {c: F.col(f"source.{c}") for c in columns}
+    merge = _matching(last, table, [key]).whenMatched(gone).delete()
+    merge.whenMatched().update(values).whenNotMatched(~gone).insert(values).merge()

@@ -29,13 +29,19 @@ def shape(df: DataFrame) -> DataFrame:
     )
 
 
+def rows_left(df: DataFrame, key: str) -> DataFrame:
+    """``(rows_after, last_key)``."""
+    return df.agg(F.count(F.lit(1)).alias("rows_after"), F.max(key).alias("last_key"))
+
+
 def repeated_rows(
-    df: DataFrame, columns: Sequence[str] | None = None, digest_text: bool = False
+    df: DataFrame, columns: Sequence[str] | None = None, digest_text: bool = True
 ) -> DataFrame:
     """``(total, later_rows)``: rows equal to an earlier one in ``columns`` (default: all).
 
-    Copies are counted inside the map tasks first. ``digest_text`` compares text by
-    its SHA-256 digest, so that long texts do not travel: 32 bytes per value do.
+    Copies are counted inside the map tasks first. Text is compared by its SHA-256
+    digest, so that long texts do not travel: 32 bytes per value do. Without
+    ``digest_text`` the texts themselves are compared.
     """
     fields = [df.schema[c] for c in columns or df.columns]
     compared = [
@@ -51,6 +57,11 @@ def repeated_rows(
     )
 
 
+def repeated_groups(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """``(*keys, n)`` of the keys on more than one row."""
+    return row_counts(df, list(keys), "n").filter(F.col("n") > 1)
+
+
 def frequencies(df: DataFrame, column: str) -> DataFrame:
     """``(column, row_count)``, most frequent first; NULL is a value of its own."""
     return row_counts(df, [column]).orderBy(F.desc("row_count"), F.col(column))

@@ -9,16 +9,11 @@ from perkline.fixed_values import COMMUTE_RULES, KNOWN_SPORTS
 from perkline.operators.matching import row_counts
 
 
-# A rule table is written out in the application, so its size is known before any
-# job runs. Up to this many rules it is sent to every task; a longer list is left
-# to the planner, which then measures it like any other table.
-MAX_BROADCAST_RULES = 10_000
-
-
 def _rule_table(spark: SparkSession, columns: dict[str, list[str]]) -> DataFrame:
-    table = pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()})
-    df = spark.createDataFrame(table)
-    return F.broadcast(df) if table.num_rows <= MAX_BROADCAST_RULES else df
+    """Written out in the application, so the planner knows its size and joins accordingly."""
+    return spark.createDataFrame(
+        pa.table({name: pa.array(values, pa.string()) for name, values in columns.items()})
+    )
 
 
 def commute_rules(
@@ -43,9 +38,9 @@ def known_sports(spark: SparkSession, sports: tuple[str, ...] = KNOWN_SPORTS) ->
 def look_up(df: DataFrame, rules: DataFrame, key: str, how: str = "inner") -> DataFrame:
     """Join rows to rules by key.
 
-    Few keys with very many rows each are normal here. With a rule table made above
-    ``df`` is not shuffled, so that does not matter; a rule table read from storage
-    is broadcast only if its measured size allows, and a hot key is split otherwise.
+    Few keys with very many rows each are normal here. A rule table whose measured size
+    allows it is sent to every task, so that ``df`` is not shuffled; with a larger one a
+    hot key is split.
     """
     return df.join(rules, key, how)
 

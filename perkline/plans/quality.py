@@ -91,52 +91,48 @@ def source_quality(
 ) -> DataFrame:
     """Eight blocking counters, and volume and threshold figures for information.
 
-    Everything about employees and profiles is asked of (employee, sport) pairs
-    with their number of rows, so a busy employee joins as a few rows. The joins
-    leave the pairs placed by employee, which the sums per employee reuse.
+    Two passes over the activities: one groups by the natural key, one by employee and
+    sport. The second carries all counts of rows and joins employees and profiles, so
+    a busy employee joins as a few rows; its groups are then summed per employee and
+    per sport at once.
     """
-    start, end, n = F.col("start_datetime"), F.col("end_datetime"), F.col("n")
-    rows = tidy(
-        activities.agg(
-            F.count(F.lit(1)).alias("total"),
-            F.count_if(F.expr(END_NOT_AFTER_START)).alias("invalid_dates"),
-            F.count_if(in_future(end, as_of)).alias("future_activities"),
-            F.count_if(too_old(start, as_of)).alias("too_old_activities"),
-            F.count_if(F.col("distance_meters") < 0).alias("negative_distances"),
-            F.count_if(F.col("distance_meters").isNull()).alias("null_distances"),
-        ),
-        informative=["total", "null_distances"],
+    start, end = F.col("start_datetime"), F.col("end_datetime")
+    counters = {
+        "total": F.count(F.lit(1)),
+        "invalid_dates": F.count_if(F.expr(END_NOT_AFTER_START)),
+        "future_activities": F.count_if(in_future(end, as_of)),
+        "too_old_activities": F.count_if(too_old(start, as_of)),
+        "negative_distances": F.count_if(F.col("distance_meters") < 0),
+        "null_distances": F.count_if(F.col("distance_meters").isNull()),
+    }
+    pairs = activities.groupBy("employee_id", "sport_type").agg(
+        *[c.alias(name) for name, c in counters.items()]
     )
-
-    pairs = row_counts(activities, ["employee_id", "sport_type"], "n")
     known = employees.select("employee_id", F.lit(True).alias("known"))
     declared = profile.select("employee_id", F.col("sport_type").alias("declared"))
     compared = pairs.join(known, "employee_id", "left").join(declared, "employee_id", "left")
-    per_employee = compared.groupBy("employee_id").agg(
-        F.sum(n).alias("n"),
-        F.sum(F.when(F.col("known").isNull(), n)).alias("unknown"),
-        F.sum(F.when(F.col("sport_type") != F.col("declared"), n)).alias("inconsistent"),
-        F.sum(F.when(F.col("declared").isNull(), n)).alias("undeclared"),
+    faults = {
+        "unknown_employees": F.col("known").isNull(),
+        "inconsistent_sports": F.col("sport_type") != F.col("declared"),
+        "activities_without_profile": F.col("declared").isNull(),
+    }
+    sums = [F.sum(name).alias(name) for name in counters]
+    sums += [F.sum(F.when(fault, F.col("total"))).alias(name) for name, fault in faults.items()]
+    groups = compared.groupingSets([["employee_id"], ["sport_type"]], "employee_id", "sport_type").agg(
+        *sums, F.grouping("sport_type").alias("of_employee")
     )
-    people = tidy(
-        per_employee.agg(
-            F.sum("unknown").alias("unknown_employees"),
-            F.sum("inconsistent").alias("inconsistent_sports"),
-            F.sum("undeclared").alias("activities_without_profile"),
-            F.count("employee_id").alias("employees_with_activity"),
-            F.count_if(n < min_activities).alias("below_threshold"),
-            F.count_if(n >= min_activities).alias("at_least_threshold"),
-        ),
-        informative=["employees_with_activity", "below_threshold", "at_least_threshold"],
-    )
-    sports = tidy(
-        pairs.agg(F.countDistinct("sport_type").alias("sports_count")), informative=["sports_count"]
+    of_employee, n = F.col("of_employee") == 1, F.col("total")
+    counted = groups.agg(
+        *[F.sum(F.when(of_employee, F.col(name))).alias(name) for name in [*counters, *faults]],
+        F.count_if(of_employee & F.col("employee_id").isNotNull()).alias("employees_with_activity"),
+        F.count_if(of_employee & (n < min_activities)).alias("below_threshold"),
+        F.count_if(of_employee & (n >= min_activities)).alias("at_least_threshold"),
+        F.count_if(~of_employee & F.col("sport_type").isNotNull()).alias("sports_count"),
     )
+    informative = ["total", "null_distances", "employees_with_activity", "below_threshold"]
     return all_checks(
-        rows,
+        tidy(counted, informative=[*informative, "at_least_threshold", "sports_count"]),
         key_counts(activities, list(NATURAL_KEY), "duplicates", "repeated_keys"),
-        people,
-        sports,
     )
 
 
@@ -187,16 +183,24 @@ def period_report(
             counts_of_counts(activities, "employee_id", min_activities).select(
                 F.col("min_rows").alias("min_per_employee"),
                 F.col("max_rows").alias("max_per_employee"),
+                # Counters are whole numbers: hundredths.
+                (F.col("mean_rows") * 100).alias("mean_per_employee_x100"),
                 "below_threshold",
                 "at_least_threshold",
             ),
             informative=[
                 "min_per_employee",
                 "max_per_employee",
+                "mean_per_employee_x100",
                 "below_threshold",
                 "at_least_threshold",
             ],
         ),
+        row_counts(activities, ["sport_type"], "value").select(
+            F.concat(F.lit("sport: "), F.coalesce("sport_type", F.lit("none"))).alias("check_name"),
+            "value",
+            F.lit(False).alias("blocking"),
+        ),
     )
 
 

@@ -22,11 +22,15 @@ def export_reports(
     activities: DataFrame,
     folder: str,
     expected_employees: int | None = None,
+    single_file: bool = False,
 ) -> dict[str, str]:
-    """Check both tables, then write both files. Nothing is written if a check fails."""
+    """Check both tables, then write both reports. Nothing is written if a check fails.
+
+    ``single_file`` makes one file of each, for a desktop tool.
+    """
     require_rows(benefits, ["employee_id"], expected_employees, "export of benefits")
     require_rows(activities, ["activity_id"], None, "export of activities")
     return {
-        "employee_benefits": write_report(benefits_view(benefits), folder, "employee_benefits"),
-        "activities": write_report(activities_view(activities), folder, "activities"),
+        "employee_benefits": write_report(benefits_view(benefits), folder, "employee_benefits", single_file),
+        "activities": write_report(activities_view(activities), folder, "activities", single_file),
     }

@@ -23,22 +23,27 @@ def write_delimited(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(header="true", encoding="UTF-8").csv(path)
 
 
-def write_report(df: DataFrame, folder: str, name: str, max_rows: int = 1_000_000) -> str:
-    """One file ``folder/name.csv`` for a desktop tool, if the result is small.
+def write_report(df: DataFrame, folder: str, name: str, single_file: bool = False) -> str:
+    """The part files of ``folder/name``, or one file ``folder/name.csv`` if the caller says so.
 
-    A single file is written by a single task, so it is made only for at most
-    ``max_rows`` rows. A larger result goes to the folder ``folder/name`` as part
-    files: nothing is left out either way. Returns the path written.
+    A single file is written by a single task, so it is for results known to be small.
+    Only one of the two forms is there afterwards. Returns the path written.
     """
-    if df.limit(max_rows + 1).count() > max_rows:
-        target = f"{folder}/{name}"
-        write_delimited(df, target)
-        return target
-
-    parts, target = f"{folder}/.{name}-parts", f"{folder}/{name}.csv"
-    write_delimited(df.coalesce(1), parts)
-    _move_only_part(df.sparkSession, parts, target)
-    return target
+    parts, one = f"{folder}/{name}", f"{folder}/{name}.csv"
+    if not single_file:
+        write_delimited(df, parts)
+        _remove(df.sparkSession, one)
+        return parts
+    hidden = f"{folder}/.{name}-parts"
+    write_delimited(df.coalesce(1), hidden)
+    _move_only_part(df.sparkSession, hidden, one)
+    _remove(df.sparkSession, parts)
+    return one
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
 def _move_only_part(spark: SparkSession, parts: str, target: str) -> None:

@@ -3,19 +3,20 @@
 Plain reads and writes take the format as an argument (``parquet``, ``delta``, …).
 The *published* functions give a file format without a table log the one thing an
 upsert needs: readers see the old rows or the new rows, never a mixture. Every
-publication writes a new folder and then one small commit record that names it;
-a job that dies in between leaves readers on the previous version, and running it
-again is safe.
+publication writes a new folder and then one small commit record that names it.
+The record appears under its version's name all at once and only if no other
+writer took that version; a job that dies before leaves readers on the previous
+version and later writers unhindered.
 """
 
 from __future__ import annotations
 
+import json
+import os
 import uuid
+from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
-
-COMMIT_SCHEMA = "folder string, version int"
+from pyspark.sql import DataFrame, SparkSession
 
 
 def read_table(spark: SparkSession, path: str, fmt: str = "parquet", **options: str) -> DataFrame:
@@ -44,24 +45,55 @@ def commits_path(path: str) -> str:
     return f"{path}/commits"
 
 
-def published_commits(spark: SparkSession, path: str) -> DataFrame | None:
-    """One row per published version, or None where nothing was published."""
-    try:
-        return spark.read.schema(COMMIT_SCHEMA).json(commits_path(path))
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
+class CommitConflict(RuntimeError):
+    """Another writer published the version first. Nothing was changed; the job may be repeated."""
+
+
+def _files(spark: SparkSession, path: str):
+    """The cluster's own file system interface for ``path``, and its path type."""
+    new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return new_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new_path
 
 
 def _latest(spark: SparkSession, path: str) -> tuple[int, str] | None:
-    commits = published_commits(spark, path)
-    if commits is None:
+    """Newest version and its folder, from the names of the commit records: no Spark job."""
+    fs, new_path = _files(spark, path)
+    records = fs.globStatus(new_path(f"{commits_path(path)}/[0-9]*.json"))
+    if not records:
         return None
-    row = commits.agg(
-        F.max("version").alias("version"), F.max_by("folder", "version").alias("folder")
-    ).first()
-    return None if row["version"] is None else (row["version"], row["folder"])
+    newest = max(records, key=lambda r: r.getPath().getName()).getPath()
+    stream = fs.open(newest)
+    try:
+        record = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
+    finally:
+        stream.close()
+    return record["version"], record["folder"]
+
+
+def _commit(spark: SparkSession, path: str, version: int, folder: str) -> None:
+    """Make the record appear whole, unless the version has one."""
+    fs, new_path = _files(spark, path)
+    commits = commits_path(path)
+    fs.mkdirs(new_path(commits))
+    name = f"{version:012d}.json"
+    # A name that starts with a dot is no record for any reader.
+    draft, record = new_path(f"{commits}/.{uuid.uuid4().hex}"), new_path(f"{commits}/{name}")
+    stream = fs.create(draft, False)
+    try:
+        stream.write(bytearray(json.dumps({"folder": folder, "version": version}) + "\n", "utf-8"))
+    finally:
+        stream.close()
+    try:
+        if fs.getScheme() == "file":
+            # A local rename would replace an existing record; a link does not.
+            os.link(draft.toUri().getPath(), record.toUri().getPath())
+        elif not fs.rename(draft, record):
+            raise FileExistsError(name)
+    except FileExistsError:
+        raise CommitConflict(f"version {version} of {path} was published by another writer") from None
+    finally:
+        if fs.exists(draft):
+            fs.delete(draft, False)
 
 
 def published_version(spark: SparkSession, path: str) -> int | None:
@@ -78,14 +110,21 @@ def read_published(spark: SparkSession, path: str, fmt: str = "parquet") -> Data
 
 
 def publish(
-    df: DataFrame, path: str, fmt: str = "parquet", partition_by: tuple[str, ...] = ()
+    df: DataFrame,
+    path: str,
+    fmt: str = "parquet",
+    partition_by: tuple[str, ...] = (),
+    check: Callable[[DataFrame], None] | None = None,
 ) -> int:
-    """Replace the whole table by ``df``, which may be computed from the table itself."""
+    """Replace the whole table by ``df``, which may be computed from the table itself.
+
+    ``check`` looks at the written rows and raises to keep them from being published.
+    """
     spark = df.sparkSession
     version = (published_version(spark, path) or 0) + 1
     folder = f"{version:08d}-{uuid.uuid4().hex}"
     write_table(df, f"{path}/data/{folder}", "errorifexists", fmt, partition_by)
-    record = spark.range(1).select(F.lit(folder).alias("folder"))
-    # Fails if another writer published this version meanwhile.
-    record.coalesce(1).write.mode("errorifexists").json(f"{commits_path(path)}/version={version}")
+    if check is not None:
+        check(spark.read.format(fmt).load(f"{path}/data/{folder}"))
+    _commit(spark, path, version, folder)
     return version

@@ -14,7 +14,7 @@ from pyspark.sql.types import DataType
 
 from perkline import fixed_values as fixed
 from perkline.functions.decoding import connect_decimal, micros_to_timestamp
-from perkline.operators.merging import merge_catalog, merged
+from perkline.operators.merging import change_catalog
 from perkline.schemas import envelope
 from perkline.sources.streams import append_stream, each_batch
 from perkline.sources.tables import publish, read_published
@@ -113,9 +113,9 @@ def ingest(
 def latest_per_key(changes: DataFrame, key: str, order: Sequence[str] = POSITION) -> DataFrame:
     """The last change of every key.
 
-    This is a maximum, not a sorted window: each map task keeps one row per key, so
-    a key with very many changes does not gather in one task. ``order`` must be
-    different for all changes of one key.
+    A maximum per key, taken in the map tasks first: they sort their own rows (and may
+    spill), and pass on one row per key, so a key with very many changes does not
+    gather in one task. ``order`` must be different for all changes of one key.
     """
     whole = F.struct(*changes.columns)
     newest = changes.groupBy(F.col(key).alias("_key")).agg(
@@ -132,7 +132,10 @@ def applied(
     ``changes`` has the table's columns, ``operation`` and the ``order`` columns.
     """
     known = changes.filter(F.col(key).isNotNull())
-    return applied_latest(table, latest_per_key(known, key, order), key)
+    # Which rows go needs the bare keys; only what comes needs the last changes.
+    kept = table.join(known.select(key).distinct(), key, "left_anti")
+    written = latest_per_key(known, key, order).filter(~F.col("operation").eqNullSafe(fixed.OP_DELETE))
+    return kept.select(*table.columns).unionByName(written.select(*table.columns))
 
 
 def applied_latest(table: DataFrame, last: DataFrame, key: str = "activity_id") -> DataFrame:
@@ -156,12 +159,11 @@ def apply_stream(
     """Keep a published table in step with a topic.
 
     A batch that is handed over twice gives the same table, so a restart neither
-    loses nor repeats a change. Publishing rewrites the table; for a large one name
-    a ``catalog_table`` whose format has row-level updates (creations and updates),
-    or append with :func:`ingest` and merge now and then.
+    loses nor repeats a change. Every batch rewrites the published table, so that is
+    for moderate tables, with an ``interval``. For a large one name a ``catalog_table``
+    whose format has row-level updates, or append with :func:`ingest` and merge now
+    and then.
     """
-    if catalog_table is not None and fixed.OP_DELETE in operations:
-        raise ValueError("deletes are applied to published tables only")
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
         changes = typed(
@@ -173,7 +175,7 @@ def apply_stream(
             # and need not shuffle a large table to meet a small batch.
             last.count()
             if catalog_table is not None:
-                merge_catalog(last.select(*ACTIVITY_COLUMNS), catalog_table, ["activity_id"])
+                change_catalog(last, catalog_table, "activity_id", ACTIVITY_COLUMNS, fixed.OP_DELETE)
             else:
                 table = read_published(batch.sparkSession, path)
                 publish(applied_latest(table, last), path)
@@ -183,11 +185,6 @@ def apply_stream(
     return each_batch(messages, on_batch, checkpoint, once, interval)
 
 
-def backfill(table: DataFrame, history: DataFrame, key: str = "activity_id") -> DataFrame:
-    """Streamed table plus the source's full history, keyed, source values winning."""
-    return merged(table, history.select(*table.columns), [key])
-
-
 def start_table(spark: SparkSession, path: str, like: DataFrame) -> int:
     """Publish an empty first version with the columns of ``like``."""
     return publish(like.filter(F.lit(False)), path)

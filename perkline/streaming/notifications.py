@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import DataType
 
 from perkline import fixed_values as fixed
 from perkline.functions.texts import distance_text, duration_text, message_text
+from perkline.sources.streams import each_batch
 from perkline.streaming.changes import only, parse_envelopes, typed
 
 
@@ -15,12 +19,15 @@ def notifications(
     employees: DataFrame,
     say_missing_distance: bool = False,
     id_type: DataType | None = None,
+    keep_unknown: bool = False,
 ) -> DataFrame:
     """One message per creation of a known employee; batch and streaming alike.
 
     A row without distance says nothing about it, or ``Distance non renseignée``
-    with ``say_missing_distance``. The employee side is one row per id and is
-    broadcast only if its size allows; the join keeps no state.
+    with ``say_missing_distance``. ``keep_unknown`` keeps creations of people who are
+    not there, with NULL as message. The employee side is one row per id and is
+    broadcast only if its size allows, and otherwise a busy employee's creations are
+    split by the adaptive join; the join keeps no state.
     """
     new = typed(only(parse_envelopes(messages, id_type=id_type)), keep_encoded=True)
     names = employees.select("employee_id", "first_name", "last_name")
@@ -28,7 +35,7 @@ def notifications(
     if not say_missing_distance:
         distance = F.when(F.col("encoded_distance").isNotNull(), distance)
     return (
-        new.join(names, "employee_id")
+        new.join(names, "employee_id", "left" if keep_unknown else "inner")
         .withColumns(
             {
                 "duration_text": duration_text(F.col("start_datetime"), F.col("end_datetime")),
@@ -55,3 +62,33 @@ def notifications(
             ).alias("message"),
         )
     )
+
+
+def notify_stream(
+    messages: DataFrame,
+    employees: Callable[[SparkSession], DataFrame],
+    path: str,
+    unknown_path: str,
+    checkpoint: str,
+    once: bool = False,
+    interval: str | None = None,
+    id_type: DataType | None = None,
+) -> StreamingQuery:
+    """Write the messages of every batch to ``path``, and creations of unknown people to ``unknown_path``.
+
+    ``employees`` is asked anew for every batch, so people who are published while the
+    query runs are found. A batch writes its own folder ``batch_id=…`` and replaces it
+    if it is handed over again, so nothing is lost and nothing repeats.
+    """
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        people = employees(batch.sparkSession)
+        notes = notifications(batch, people, id_type=id_type, keep_unknown=True).persist()
+        try:
+            known = F.col("message").isNotNull()
+            for rows, folder in ((notes.filter(known), path), (notes.filter(~known), unknown_path)):
+                rows.write.mode("overwrite").parquet(f"{folder}/batch_id={batch_id}")
+        finally:
+            notes.unpersist()
+
+    return each_batch(messages, on_batch, checkpoint, once, interval)

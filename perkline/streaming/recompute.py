@@ -20,7 +20,7 @@ def version_stream(spark: SparkSession, path: str) -> DataFrame:
     The folder is given as a pattern, so that the stream may start before the first version.
     """
     commits = commits_path(path)
-    return read_stream(spark, "json", f"{commits[:-1]}[{commits[-1]}]", "folder string")
+    return read_stream(spark, "json", f"{commits[:-1]}[{commits[-1]}]", "folder string, version int")
 
 
 def _started_before(spark: SparkSession, checkpoint: str) -> bool:

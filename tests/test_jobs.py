@@ -45,7 +45,7 @@ def run(spark, place):
     (place / "hr.csv").write_text(HR, encoding="utf-8")
     (place / "sport.csv").write_text(SPORT, encoding="utf-8")
     published = ("employees", "sport_profile", "commute_validation", "source_activities", "activities", "employee_benefits")
-    files = ("commute_distances", "new_activities", "doomed_activities", "data_quality_metrics", "notifications")
+    files = ("commute_distances", "new_activities", "doomed_activities", "data_quality_metrics", "notifications", "unknown_people")
     settings = {
         "tables": {
             **{n: {"kind": "published", "path": f"{place}/{n}"} for n in published},
@@ -53,7 +53,8 @@ def run(spark, place):
             "hr_file": {"kind": "csv", "path": f"{place}/hr.csv"},
             "sport_file": {"kind": "csv", "path": f"{place}/sport.csv"},
         },
-        "paths": {"reports": f"{place}/reports", "checkpoints": f"{place}/checkpoints"},
+        "paths": {n: f"{place}/{n}" for n in ("reports", "results", "checkpoints")},
+        "single_file_reports": True,
         "topic": {"format": "parquet", "path": f"{place}/topic", "schema": MESSAGES},
         "expected": {"row_count": 2, "bonus_eligible": 1, "bonus_total": "1500.03", "wellbeing_days": 5},
         "once": True,
@@ -110,7 +111,10 @@ def test_activities(spark, run, place):
     assert [r["activity_id"] for r in jobs.JOBS["last-activities"](run).collect()][0] == 90
 
     spark.createDataFrame([(90,)], "activity_id int").write.parquet(f"{place}/doomed_activities")
-    assert [r["activity_id"] for r in jobs.JOBS["cleanup-activities"](run).collect()] == [90]
+    found = jobs.JOBS["cleanup-activities"](run).first()
+    assert (found["rows_before"], found["rows_after"], found["last_key"]) == (17, 16, 16)
+    gone = spark.read.csv(f"{place}/results/deleted-activities", header=True)
+    assert [r["activity_id"] for r in gone.collect()] == ["90"]
     assert run.read("activities").count() == 16
     assert jobs.JOBS["check-activities"](run).filter("value > 0").count() == 0
 
@@ -147,7 +151,8 @@ def test_watch_rebuilds_after_a_change(spark, run, place):
 def test_notify(spark, run, place):
     jobs.JOBS["notify"](run)
     notes = run.read("notifications").collect()
-    assert [(n["activity_id"], n["first_name"]) for n in notes] == [(16, "Ana")]  # 90 has no known employee
+    assert [(n["activity_id"], n["first_name"]) for n in notes] == [(16, "Ana")]
+    assert [n["activity_id"] for n in run.read("unknown_people").collect()] == [90]
 
 
 def test_a_broken_component_is_reported(run, place):
@@ -163,3 +168,45 @@ def test_a_broken_component_is_reported(run, place):
 def test_unknown_table_is_named(run):
     with pytest.raises(KeyError, match="no table"):
         run.read("unheard_of")
+
+
+def changed(run, **places):
+    settings = json.loads(json.dumps(run.settings))
+    settings["tables"] |= places
+    return jobs.Context(run.spark, settings, AS_OF)
+
+
+WRITERS = {
+    "ingest-people": "employees",
+    "validate-commutes": "commute_validation",
+    "load-activities": "source_activities",
+    "merge-history": "activities",
+    "cleanup-activities": "activities",
+    "build-benefits": "employee_benefits",
+}
+
+
+@pytest.mark.parametrize("kind", ["jdbc", "path", "csv"])
+@pytest.mark.parametrize("name,table", WRITERS.items())
+def test_a_table_that_cannot_be_updated_is_refused_before_any_read(run, name, table, kind):
+    # Nothing named here exists, so a read would fail otherwise.
+    nowhere = {t: {"kind": kind, "path": "/nowhere", "url": "jdbc:none", "table": "t"} for t in run.settings["tables"]}
+    with pytest.raises(ValueError, match=f"{table}.*needed: published or catalog"):
+        jobs.JOBS[name](changed(run, **nowhere))
+
+
+def test_streams_refuse_kinds_too(run):
+    for name, table in (("watch", "activities"), ("notify", "notifications"), ("ingest-changes", "activities")):
+        with pytest.raises(ValueError, match=table):
+            jobs.JOBS[name](changed(run, **{table: {"kind": "csv", "path": "/nowhere"}}))
+
+
+def test_monitor_reports_although_its_history_fails(run, place):
+    broken = changed(run, data_quality_metrics={"kind": "published", "path": f"{place}/no-append"})
+    states = values(jobs.JOBS["monitor"](broken), "component", "status")
+    assert states["quality"] == states["overall"] == "ERROR" and states["activities"] == "OK"
+
+
+def test_results_arrive_whole(spark, run):
+    path = run.keep("many", spark.range(2500))
+    assert spark.read.csv(path, header=True).count() == 2500

@@ -1,12 +1,15 @@
 """Upserts, deletes and published tables, against a plain Python model."""
 
 import random
+import threading
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
 from perkline.operators.checks import QualityError
+from perkline.operators import merging
 from perkline.operators.merging import (
     delete_published,
     merge_published,
@@ -125,13 +128,75 @@ def test_a_writer_that_dies_leaves_the_old_version(spark, folder):
     assert plain(tables.read_published(spark, path)) == [(3, "c", 3)]
 
 
-def test_two_writers_cannot_publish_one_version(spark, folder):
+def test_left_overs_of_a_crash_in_the_commit_lock_nothing(spark, folder):
     path = f"{folder}/t"
     tables.publish(spark.createDataFrame([(1, "a", 1)], SCHEMA), path)
-    record = spark.createDataFrame([("elsewhere",)], "folder string")
-    record.write.json(f"{tables.commits_path(path)}/version=2")
-    with pytest.raises(Exception):
-        record.write.mode("errorifexists").json(f"{tables.commits_path(path)}/version=2")
+    commits = Path(tables.commits_path(path))
+    (commits / ".0123-draft").write_text("{")  # died before the record appeared
+    (commits / "_temporary").mkdir()
+    assert tables.published_version(spark, path) == 1
+    assert tables.publish(spark.createDataFrame([(2, "b", 2)], SCHEMA), path) == 2
+    assert plain(tables.read_published(spark, path)) == [(2, "b", 2)]
+
+
+def test_of_two_writers_one_publishes_a_version(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(0, "a", 0)], SCHEMA), path)
+    with pytest.raises(tables.CommitConflict):
+        tables._commit(spark, path, 1, "elsewhere")
+    done, refused = [], []
+    start = threading.Barrier(4)
+
+    def write(n):
+        start.wait()
+        try:
+            done.append((tables.publish(spark.createDataFrame([(n, "w", n)], SCHEMA), path), n))
+        except tables.CommitConflict:
+            refused.append(n)
+
+    threads = [threading.Thread(target=write, args=(n,)) for n in range(4)]
+    for t in threads:
+        t.start()
+    for t in threads:
+        t.join()
+    assert len(done) + len(refused) == 4 and done
+    assert len({version for version, _ in done}) == len(done)
+    assert plain(tables.read_published(spark, path))[0][0] == dict(done)[max(dict(done))]
+
+
+def test_a_source_in_use_is_read_once(spark, folder):
+    """A row that appears in the source while the merge runs is in it whole or not at all."""
+    path, live = f"{folder}/t", f"{folder}/live"
+    tables.publish(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA), path)
+    spark.createDataFrame([(1, "A", 10)], SCHEMA).write.parquet(live)
+    late = spark.createDataFrame([(2, "B", 20)], SCHEMA)
+    check = merging.require_unique
+
+    def check_and_grow(df, keys, what):
+        check(df, keys, what)
+        if what == "merge source":
+            late.write.mode("append").parquet(live)
+
+    merging.require_unique = check_and_grow
+    try:
+        # Without a fixed list of files, every read would find what is there by then.
+        source = spark.read.schema(SCHEMA).parquet(live)
+        merge_published(spark, path, source, ["k"])
+    finally:
+        merging.require_unique = check
+    assert plain(tables.read_published(spark, path)) == [(1, "A", 10), (2, "b", 2)]
+
+
+def test_a_result_with_repeated_keys_is_not_published(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(1, "a", 1), (1, "b", 2)], SCHEMA), path)
+    with pytest.raises(QualityError, match="merged table"):
+        merge_published(spark, path, spark.createDataFrame([(2, "c", 3)], SCHEMA), ["k"])
+    assert tables.published_version(spark, path) == 1
+    with pytest.raises(QualityError, match="first load"):
+        twice = spark.createDataFrame([(1, "x", 1), (1, "y", 1)], SCHEMA)
+        merging.load_or_merge_published(spark, f"{folder}/new", twice, ["k"])
+    assert tables.published_version(spark, f"{folder}/new") is None
 
 
 def test_replacing_a_table_may_change_its_columns(spark, folder):

@@ -10,9 +10,11 @@ from conftest import values
 from perkline import schemas
 from perkline.operators.checks import key_measures
 from perkline.operators.merging import merged
+from perkline.operators.profiling import repeated_rows
 from perkline.operators.rules import commute_rules, look_up
 from perkline.plans import benefits, quality
 from perkline.streaming import changes
+from perkline.streaming.notifications import notifications
 import __spark_entry__  # noqa: F401  (registers the queries)
 from workload import roles
 from workload.registry import QUERIES
@@ -70,18 +72,34 @@ def test_benefits_shuffle_each_input_once_by_employee(spark, large):
     assert plan.count("Exchange") == 4  # and the last step to one row
 
 
-def test_rules_are_never_joined_by_a_shuffle(spark, large):
+def test_rules_are_sent_around_because_they_are_small(spark):
     answers = roles.commute_answers(spark, SF_DIR)
     plan = plan_of(look_up(answers, commute_rules(spark, roles.RULES), "commute_mode"))
     assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
 
 
-def test_long_rule_lists_are_left_to_the_planner(spark, large):
-    many = {f"m{i}": ("WALK", "1.00") for i in range(10_001)}
-    plan = plan_of(look_up(roles.commute_answers(spark, SF_DIR), commute_rules(spark, many), "commute_mode"))
+def test_rules_too_large_to_send_are_joined_by_key(spark, large):
+    plan = plan_of(look_up(roles.commute_answers(spark, SF_DIR), commute_rules(spark, roles.RULES), "commute_mode"))
     assert "SortMergeJoin" in plan
 
 
+def test_source_suite_passes_over_the_activities_twice(spark):
+    plan = plan_of(QUERIES["source_quality"].build(spark, SF_DIR))
+    # What stands for the activities reads the events twice, the profiles once.
+    events = [line for line in scans(plan) if "events.parquet" in line]
+    activities = [line for line in events if "ts:timestamp_ntz" in line]
+    assert len(activities) <= 4
+
+
+def test_audits_move_no_texts(spark):
+    documents = roles.table(spark, SF_DIR, "documents")
+    for plan in (plan_of(QUERIES["file_audit"].build(spark, SF_DIR)), plan_of(repeated_rows(documents))):
+        # Both text columns and all others of the documents are replaced before any exchange.
+        lines = [line for line in plan.splitlines() if "unhex(sha2(cast(text#" in line]
+        assert lines and all("Project" in line or "HashAggregate" in line for line in lines)
+    assert "sha2" not in plan_of(repeated_rows(documents, digest_text=False))
+
+
 def test_row_checks_take_one_scan_and_no_key_shuffle(spark):
     plan = plan_of(quality.violation_counts(roles.activities(spark, SF_DIR), quality.ACTIVITY_CHECKS))
     assert len(scans(plan)) == 1 and "hashpartitioning" not in plan
@@ -110,8 +128,8 @@ def test_messages_are_parsed_once(spark, folder):
 def test_small_upsert_does_not_move_the_table(spark):
     target = roles.table(spark, SF_DIR, "lineitem").select("l_orderkey", "l_tax")
     few = roles.table(spark, SF_DIR, "nation").selectExpr("CAST(n_nationkey AS BIGINT) l_orderkey", "0.0D l_tax")
-    whole = plan_of(merged(target, few, ["l_orderkey"]))
-    assert "hashpartitioning" not in whole
+    for update in (None, ["l_tax"]):
+        assert "hashpartitioning" not in plan_of(merged(target, few, ["l_orderkey"], update))
 
 
 # --- A key with a third of all rows -------------------------------------------------
@@ -150,3 +168,12 @@ def test_hot_key_of_changes_keeps_its_last(spark, hot):
     last = changes.latest_per_key(history, "activity_id", ["offset"])
     assert values(last.filter("activity_id < 1"), "activity_id", "offset") == {0: 9_999, -1: 19_999}
     assert last.count() == 10_002
+
+
+def test_busy_employee_gets_all_messages(spark, large):
+    from test_streaming import after, envelope, messages
+
+    batch = messages(spark, *[envelope("c", after(i, employee_id=0 if i % 3 else i)) for i in range(1, 301)])
+    people = spark.createDataFrame([(i, f"F{i}", f"L{i}") for i in range(400)], "employee_id int, first_name string, last_name string")
+    found = notifications(batch, people)
+    assert found.count() == 300 and found.filter("first_name = 'F0'").count() == 200

@@ -68,10 +68,10 @@ def test_missing_markers(spark):
     assert values(missing_to_null(df, "s").groupBy("s").count(), "s", "count") == {None: 4, "Nantes": 1}
 
 
-def test_small_report_is_one_file(spark, folder):
+def test_single_report_is_one_file(spark, folder):
     df = spark.createDataFrame([(1, "é, ü"), (2, None)], "id int, name string")
     for _ in range(2):  # can be made again
-        path = files.write_report(df, folder, "names")
+        path = files.write_report(df, folder, "names", single_file=True)
     assert path == f"{folder}/names.csv" and os.path.isfile(path)
     with open(path, encoding="utf-8") as file:
         assert file.readline().strip() == "id,name"
@@ -80,11 +80,13 @@ def test_small_report_is_one_file(spark, folder):
     assert rows(back) == rows(df)
 
 
-def test_large_report_is_whole_but_in_parts(spark, folder):
-    path = files.write_report(spark.range(100, numPartitions=4), folder, "ids", max_rows=99)
-    assert path == f"{folder}/ids" and os.path.isdir(path)
-    assert len([f for f in os.listdir(path) if f.endswith(".csv")]) == 4
-    assert spark.read.csv(path, header=True).count() == 100
+def test_the_form_of_a_report_does_not_depend_on_its_rows_and_is_there_once(spark, folder):
+    for rows_written in (3, 2_000, 3):
+        for single in (False, True):
+            path = files.write_report(spark.range(rows_written, numPartitions=4), folder, "ids", single)
+            assert path == f"{folder}/ids" + (".csv" if single else "")
+            assert [f for f in os.listdir(folder) if not f.startswith(".")] == [os.path.basename(path)]
+            assert spark.read.csv(path, header=True).count() == rows_written
 
 
 def test_export_is_gated(spark, folder):
@@ -97,7 +99,7 @@ def test_export_is_gated(spark, folder):
     with pytest.raises(QualityError):
         reporting.export_reports(benefits.union(benefits), activities, folder)
     assert os.listdir(folder) == []
-    written = reporting.export_reports(benefits, activities, folder, expected_employees=1)
+    written = reporting.export_reports(benefits, activities, folder, 1, single_file=True)
     with open(written["activities"], encoding="utf-8") as file:
         assert "comment" not in file.read()
 

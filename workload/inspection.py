@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from perkline import fixed_values as fixed
 from perkline.functions.periods import in_window
 from perkline.operators.checks import key_measures, split_by_checks, verdict
 from perkline.operators.matching import (
@@ -20,11 +21,14 @@ from perkline.operators.profiling import (
     counts_of_counts,
     frequencies,
     largest,
+    repeated_groups,
     repeated_rows,
     shape,
 )
 from perkline.operators.rules import commute_rules, look_up
 from perkline.plans import people, quality
+from perkline.session import shared_dir
+from perkline.sources.files import read_delimited, write_report
 from workload import roles
 from workload.registry import query
 
@@ -400,8 +404,7 @@ SELECT l_orderkey, l_linenumber, count(*) AS n FROM lineitem
 GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
 )
 def _(spark, sf_dir):
-    lines = roles.table(spark, sf_dir, "lineitem")
-    return lines.groupBy("l_orderkey", "l_linenumber").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    return repeated_groups(roles.table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
 
 @query(
@@ -522,6 +525,14 @@ UNION ALL SELECT 'repeated_keys', 'right', count(*) - count(DISTINCT doc_id) FRO
         )
         for c in cols.split()
     )
+    + "".join(
+        f"UNION ALL SELECT 'types', '{side}.{c}', {i}\n"
+        for side, cols in (
+            ("left", "doc_id bigint,text string,lang string,source string,n_chars bigint"),
+            ("right", "doc_id bigint,quality int,toxic int"),
+        )
+        for i, c in enumerate(cols.split(","), 1)
+    )
     + """UNION ALL SELECT 'missing_keys', 'right', count(*) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels) HAVING count(*) > 0
 UNION ALL SELECT 'missing_keys', 'left', count(*) FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents) HAVING count(*) > 0""",
 )
@@ -555,6 +566,18 @@ UNION ALL SELECT 'repeated_keys', 'right', count(*) - count(DISTINCT employee_id
         )
         for c in cols.split()
     )
+    + "".join(
+        f"UNION ALL SELECT 'types', '{side}.{c}', {i}\n"
+        for side, cols in (
+            (
+                "left",
+                "activity_id bigint;employee_id bigint;start_datetime timestamp_ntz;sport_type string;"
+                "distance_meters decimal(10,2);end_datetime timestamp_ntz;comment string",
+            ),
+            ("right", "employee_id bigint;sport_type string"),
+        )
+        for i, c in enumerate(cols.split(";"), 1)
+    )
     + """UNION ALL SELECT 'missing_keys', 'right', count(*) FROM (
   SELECT DISTINCT employee_id FROM recorded EXCEPT SELECT employee_id FROM sport_profile) HAVING count(*) > 0
 UNION ALL SELECT 'missing_keys', 'left', count(*) FROM (
@@ -569,3 +592,65 @@ def _(spark, sf_dir):
 @query("top_k_latest", (), "SELECT * FROM orders ORDER BY o_orderkey DESC LIMIT 5")
 def _(spark, sf_dir):
     return largest(roles.table(spark, sf_dir, "orders"), ["o_orderkey"], 5)
+
+
+@query(
+    "file_missing_ids",
+    (),
+    """
+SELECT doc_id, 'right' AS missing_from FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)
+UNION ALL SELECT doc_id, 'left' FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents)""",
+)
+def _(spark, sf_dir):
+    documents = roles.table(spark, sf_dir, "documents")
+    return people.missing_ids(documents, roles.table(spark, sf_dir, "labels"), "doc_id")
+
+
+@query(
+    "file_frequencies",
+    (),
+    """
+SELECT 'left' AS side, 'lang' AS column_name, lang AS column_value, count(*) AS row_count FROM documents GROUP BY lang
+UNION ALL SELECT 'left', 'source', source, count(*) FROM documents GROUP BY source
+UNION ALL SELECT 'right', 'quality', CAST(quality AS VARCHAR), count(*) FROM labels GROUP BY quality""",
+)
+def _(spark, sf_dir):
+    documents = roles.table(spark, sf_dir, "documents")
+    labels = roles.table(spark, sf_dir, "labels")
+    return people.frequency_table(documents, ["lang", "source"], "left").unionByName(
+        people.frequency_table(labels, ["quality"], "right")
+    )
+
+
+_HR = """
+SELECT CAST(c_custkey AS INTEGER) AS employee_id, c_name AS last_name, 'Élodie, "' || c_mktsegment || '"' AS first_name,
+       DATE '1980-01-01' + CAST(c_custkey % 9000 AS INTEGER) AS birth_date, c_mktsegment AS business_unit,
+       DATE '2010-01-01' + CAST(c_custkey % 3000 AS INTEGER) AS hire_date,
+       CAST(30000 + c_custkey % 1000 AS DECIMAL(10,2)) AS gross_salary, 'CDI' AS contract_type,
+       CAST(c_nationkey AS INTEGER) AS paid_leave_days, c_name || chr(44) || ' rue' AS home_address,
+       c_mktsegment AS commute_mode
+FROM customer"""
+
+
+@query("hr_file_ingest", (), _HR)
+def _(spark, sf_dir):
+    # Customers as a person file with its real headers, written, read and ingested.
+    key = F.col("c_custkey")
+    cells = {
+        "employee_id": key,
+        "last_name": F.col("c_name"),
+        "first_name": F.concat(F.lit('Élodie, "'), "c_mktsegment", F.lit('"')),
+        "birth_date": F.date_add(F.lit("1980-01-01").cast("date"), (key % 9000).cast("int")),
+        "business_unit": F.col("c_mktsegment"),
+        "hire_date": F.date_add(F.lit("2010-01-01").cast("date"), (key % 3000).cast("int")),
+        "gross_salary": 30000 + key % 1000,
+        "contract_type": F.lit("CDI"),
+        "paid_leave_days": F.col("c_nationkey"),
+        "home_address": F.concat("c_name", F.lit(", rue")),
+        "commute_mode": F.col("c_mktsegment"),
+    }
+    file = roles.table(spark, sf_dir, "customer").select(
+        *[cells[name].alias(header) for header, name in fixed.HR_HEADERS.items()]
+    )
+    path = write_report(file, shared_dir(spark, "hr"), "people")
+    return people.employees_from_file(read_delimited(spark, path))

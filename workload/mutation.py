@@ -18,13 +18,14 @@ from perkline.operators.merging import (
     with_keys,
     without_keys,
 )
+from perkline.operators.profiling import rows_left
 from perkline.operators.rules import commute_rules
 from perkline.plans import commute, monitoring
 from perkline.session import shared_dir
-from perkline.sources.streams import append_stream, read_stream
+from perkline.sources.streams import read_stream
 from perkline.sources.tables import publish, read_published, read_table
 from perkline.streaming import changes as cdc
-from perkline.streaming.notifications import notifications
+from perkline.streaming.notifications import notifications, notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
 from workload import business, roles
 from workload.registry import query
@@ -100,16 +101,22 @@ def _(spark, sf_dir):
 @query(
     "merge_check",
     (),
-    _ORDERS
-    + """
-SELECT count(*) AS total, count(DISTINCT o_orderkey) AS distinct_non_null, count(DISTINCT o_orderkey) AS distinct_keys,
-       CAST(0 AS BIGINT) AS repeated_keys, count(*) - count(DISTINCT o_orderkey) AS surplus_rows,
-       count(*) - count(DISTINCT o_orderkey) AS later_rows
-FROM merged""",
+    """
+WITH target AS (SELECT l_orderkey AS k FROM lineitem WHERE l_linenumber <= 2),
+source AS (SELECT o_orderkey AS k FROM orders WHERE o_orderstatus = 'O'),
+merged AS (SELECT k FROM target WHERE k NOT IN (SELECT k FROM source) UNION ALL SELECT k FROM source),
+groups AS (SELECT k, count(*) AS n FROM merged GROUP BY k)
+SELECT CAST(sum(n) AS BIGINT) AS total, count(k) AS distinct_non_null, count(*) AS distinct_keys,
+       count(*) FILTER (n > 1) AS repeated_keys, CAST(sum(n) AS BIGINT) - count(k) AS surplus_rows,
+       CAST(sum(n) AS BIGINT) - count(*) AS later_rows
+FROM groups""",
 )
 def _(spark, sf_dir):
-    target, source = _orders(spark, sf_dir)
-    return key_measures(merged(target, source, ["o_orderkey"]), ["o_orderkey"])
+    # The target already repeats keys; those that the source replaces are single afterwards.
+    lines = roles.table(spark, sf_dir, "lineitem").filter("l_linenumber <= 2")
+    orders = roles.table(spark, sf_dir, "orders").filter("o_orderstatus = 'O'")
+    target, source = lines.select(F.col("l_orderkey").alias("k")), orders.select(F.col("o_orderkey").alias("k"))
+    return key_measures(merged(target, source, ["k"]), ["k"])
 
 
 @query(
@@ -199,17 +206,13 @@ def _(spark, sf_dir):
     doomed = orders.filter("o_totalprice > 400000").select("o_orderkey").union(last).distinct()
     path = shared_dir(spark, "cleanup")
     publish(orders, path)
-    before = read_published(spark, path)
+    before = read_published(spark, path).agg(F.count(F.lit(1)).alias("rows_before"))
     delete_published(spark, path, doomed, ["o_orderkey"])
-    after = read_published(spark, path)
-    return (
-        after.select("o_orderkey", F.lit(0).alias("was"), F.lit(1).alias("is"))
-        .unionByName(before.select(F.lit(None).cast("long").alias("o_orderkey"), F.lit(1).alias("was"), F.lit(0).alias("is")))
-        .agg(
-            F.sum("was").alias("rows_before"),
-            F.sum("is").alias("rows_after"),
-            F.max("o_orderkey").alias("last_key"),
-        )
+    left = rows_left(read_published(spark, path), "o_orderkey").withColumnRenamed("last_key", "last")
+    # Two single rows side by side: the maximum takes the side that has the value.
+    both = before.unionByName(left, allowMissingColumns=True)
+    return both.agg(
+        F.max("rows_before").alias("rows_before"), F.max("rows_after").alias("rows_after"), F.max("last").alias("last_key")
     )
 
 
@@ -378,11 +381,16 @@ def _(spark, sf_dir):
 @query("stream_notifications", ("changes", "employees"), _MESSAGES)
 def _(spark, sf_dir):
     path = shared_dir(spark, "notified")
-    notes = notifications(
-        roles.envelopes(_event_stream(spark, sf_dir)), roles.employees(spark, sf_dir), id_type=LONG
-    )
-    append_stream(notes, path, shared_dir(spark, "notify-progress"), once=True).awaitTermination()
-    return read_table(spark, path)
+    notify_stream(
+        roles.envelopes(_event_stream(spark, sf_dir)),
+        lambda session: roles.employees(session, sf_dir),
+        path,
+        shared_dir(spark, "not-notified"),
+        shared_dir(spark, "notify-progress"),
+        once=True,
+        id_type=LONG,
+    ).awaitTermination()
+    return read_table(spark, path).drop("batch_id")
 
 
 @query(
@@ -505,15 +513,20 @@ def _(spark, sf_dir):
 
 @query(
     "status_without_faults",
-    BENEFITS,
+    ("changes", "created", *BENEFITS),
     """
-SELECT 'OK' AS volume_status,
-       CASE WHEN (SELECT count(*) - count(DISTINCT activity_id) + count(*) FILTER (employee_id IS NULL)
-                         + count(*) FILTER (end_datetime < start_datetime) + count(*) FILTER (distance_meters < 0)
-                  FROM activities) > 0 THEN 'ERROR' ELSE 'OK' END AS quality_status,
-       CASE WHEN (SELECT count(*) - count(DISTINCT employee_id) FROM benefits) > 0 THEN 'ERROR' ELSE 'OK' END AS overall""",
+, volume AS (SELECT CASE WHEN (SELECT count(*) FROM activities) = (SELECT count(*) FROM created) THEN 'OK' ELSE 'WARNING' END AS status),
+quality AS (
+  SELECT CASE WHEN (SELECT count(*) - count(DISTINCT activity_id) + count(*) FILTER (employee_id IS NULL)
+                           + count(*) FILTER (end_datetime < start_datetime) + count(*) FILTER (distance_meters < 0)
+                    FROM activities) + (SELECT count(*) - count(DISTINCT employee_id) FROM benefits) > 0
+              THEN 'ERROR' ELSE 'OK' END AS status)
+SELECT v.status AS volume_status, q.status AS quality_status, CASE WHEN q.status = 'ERROR' THEN 'ERROR' ELSE v.status END AS overall
+FROM volume v, quality q""",
 )
 def _(spark, sf_dir):
+    # No faults, but fewer rows arrived than the source has.
     good = roles.activities(spark, sf_dir)
+    arrived = cdc.created_activities(roles.messages(spark, sf_dir), id_type=LONG)
     metrics = monitoring.quality_metrics(good, business.benefits(spark, sf_dir))
-    return monitoring.overall_status(volumes(good, roles.activities(spark, sf_dir)), metrics)
+    return monitoring.overall_status(volumes(good, arrived), metrics)
