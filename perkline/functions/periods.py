@@ -45,12 +45,3 @@ def in_future(moment: Column, as_of: dt.date | dt.datetime) -> Column:
 
 def outside(moment: Column, start: dt.date | dt.datetime, end: dt.date | dt.datetime) -> Column:
     return (moment < _moment(start)) | (moment > _moment(end))
-
-
-def wrong_order(start: Column, end: Column, strict: bool = True) -> Column:
-    """End not after start. ``strict=False`` lets equal times pass."""
-    return end <= start if strict else end < start
-
-
-def month_key(moment: Column) -> Column:
-    return F.date_format(moment, "yyyy-MM")

@@ -14,8 +14,7 @@ Settings name where every table is::
      "paths":  {"reports": "…", "results": "…", "checkpoints": "…"},
      "single_file_reports": true,
      "apply_interval": "10 minutes",
-     "topic":  {"format": "kafka", "options": {"kafka.bootstrap.servers": "…", "subscribe": "…",
-                                               "startingOffsets": "latest"}}}
+     "topic":  {"format": "kafka", "servers": "…", "name": "…", "starting": "latest"}}
 
 What a kind allows besides reading: ``published`` and ``catalog`` (a table format with row-level updates)
 everything; ``path`` and ``jdbc`` appending; ``csv`` nothing. A job names the kinds it needs and
@@ -51,7 +50,7 @@ from perkline.plans import benefits, commute, monitoring, people, quality, repor
 from perkline.session import build_session
 from perkline.sources.files import read_delimited, write_report
 from perkline.sources.jdbc import Database, Split, append_database, read_database
-from perkline.sources.streams import read_stream
+from perkline.sources.streams import read_stream, read_topic
 from perkline.sources.tables import publish, read_published, read_table, write_table
 from perkline.streaming import changes
 from perkline.streaming.notifications import notify_stream
@@ -147,6 +146,8 @@ class Context:
 
     def messages(self) -> DataFrame:
         topic = self.settings["topic"]
+        if topic["format"] == "kafka" and "servers" in topic:
+            return read_topic(self.spark, topic["servers"], topic["name"], topic.get("starting", "latest"))
         return read_stream(
             self.spark, topic["format"], topic.get("path"), topic.get("schema"), **topic.get("options", {})
         )

@@ -159,14 +159,3 @@ def test_window_bounds(spark, as_of, first_day):
         [True, False, False],
         [None, None, None],
     ]
-
-
-def test_order_strictness(spark):
-    t = dt.datetime(2024, 1, 1)
-    ends = [t - dt.timedelta(seconds=1), t, t + dt.timedelta(seconds=1), None]
-    strict = column(spark, ends, "timestamp_ntz", lambda c: periods.wrong_order(F.lit(t).cast("timestamp_ntz"), c))
-    loose = column(
-        spark, ends, "timestamp_ntz", lambda c: periods.wrong_order(F.lit(t).cast("timestamp_ntz"), c, strict=False)
-    )
-    assert strict == [True, True, False, None]
-    assert loose == [True, False, False, None]
