@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import gc
+
+from pyspark.sql import DataFrame, SparkSession
 
 from perkline.session import shared_dir
 
@@ -16,3 +18,22 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
     path = shared_dir(spark, purpose)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def discard(df: DataFrame) -> None:
+    """Deletes a table made by :func:`stored` whose readers are all stored themselves."""
+    spark = df.sparkSession
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        path = jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(conf).delete(path, True)
+
+
+def release_shuffles(spark: SparkSession) -> None:
+    """Lets Spark delete the shuffle files of finished steps.
+
+    It does so when the driver's garbage collector finds their plans gone, which the few objects of
+    a driver may not cause for hours, while the files fill the disks of the executors.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
