@@ -71,6 +71,24 @@ def test_copies_do_not_reject_each_other(documents):
     assert all(r["kept"] for r in quality.judge(documents(pairs, ["host"] * 120)).collect())
 
 
+def test_documents_that_are_mostly_template_are_found(documents):
+    """Twenty lines of a template and two own ones: every template line is in every document."""
+    for n_template in (20, 5):
+        template = "\n".join(f"part {k} of the template that all pages of this host have" for k in range(n_template))
+        pairs = [(i, f"{filler(i)}\n{template}\n{filler(i + 5000)}") for i in range(300)]
+        judged = quality.judge(documents(pairs, ["host"] * 300)).collect()
+        assert {len(r["removed"] or []) for r in judged} == {n_template}
+        assert all(r["words_left"] == 24 for r in judged)
+    pairs = [(i, f"{template}\n{template.replace('part', 'block')}\nown{i} word{i}") for i in range(300)]
+    assert not any(r["kept"] for r in quality.judge(documents(pairs, ["host"] * 300)).collect())
+
+
+def test_copies_edited_in_different_lines_do_not_reject_each_other(documents):
+    text = "\n".join(filler(k) for k in range(30))
+    pairs = [(i, text.replace(f"own{i}x4", f"edit{i}")) for i in range(30)]
+    assert all(r["kept"] and r["removed"] is None for r in quality.judge(documents(pairs, ["host"] * 30)).collect())
+
+
 def test_odd_rows(documents, odd_texts):
     assert quality.judge(documents(odd_texts).where("false")).count() == 0
     assert quality.clean(documents(odd_texts).where("false")).count() == 0
