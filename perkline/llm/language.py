@@ -8,7 +8,7 @@ collapse into one matrix, so scoring is a product of a batch of presence rows wi
 landmarks and one with that matrix.
 
 Training uses at most ``SAMPLE`` different labelled texts, the same number for each language where there
-are so many, chosen by the hash of the text; they reach the driver as n-gram sets of ``BINS``
+are so many and all of a language that has fewer, chosen by the hash of the text; they reach the driver as n-gram sets of ``BINS``
 bits. Everything else runs over all documents, whole texts, in the tasks.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; so is everything if there
@@ -22,13 +22,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkline.llm import tokens
-from perkline.llm.sharding import KEY_BITS, text_key
+from perkline.llm.sharding import text_key
 from perkline.llm.shipping import ship_library
+from perkline.llm.storage import stored
 
 ORDERS = (1, 2, 3, 4)
 BINS = 1 << 14
@@ -110,16 +111,20 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """From the documents that are not held out and have a language; none without such documents."""
     ship_library(docs.sparkSession)
     labelled = docs.where(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id")))
-    counts = {r["lang"]: r["count"] for r in labelled.groupBy("lang").count().collect()}
-    if not counts:
+    keyed = labelled.select("lang", "text", text_key(F.col("text")).alias("key"))
+    # Copies of a text have one key, and count once.
+    keys = stored(keyed.select("lang", "key").distinct(), "language-keys")
+    n_languages = keys.select("lang").distinct().count()
+    if not n_languages:
         return None
-    each = max(1, sample // len(counts))
-    # Twice as many as wanted, as copies of a text count once.
-    below = F.lit(0).cast("long")
-    for lang, count in counts.items():
-        limit = ((1 << KEY_BITS) - 1) * min(count, 2 * each) // count
-        below = F.when(F.col("lang") == lang, F.lit(limit)).otherwise(below)
-    picked = labelled.select("lang", "text", text_key(F.col("text")).alias("key")).where(F.col("key") <= below)
+    each = max(1, sample // n_languages)
+    nth = F.row_number().over(Window.partitionBy("lang").orderBy("key"))
+    # The smallest keys of each language, all of them where there are few; tasks pass on ``each`` at most.
+    last = keys.withColumn("nth", nth).where(F.col("nth") <= each).groupBy("lang").agg(F.max("key").alias("last"))
+    below = F.lit(-1).cast("long")
+    for r in last.collect():
+        below = F.when(F.col("lang") == r["lang"], F.lit(r["last"])).otherwise(below)
+    picked = keyed.where(F.col("key") <= below)
     picked = picked.groupBy("lang", "key").agg(F.first("text").alias("text"))
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -127,15 +132,12 @@ def train(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
             bits = [np.packbits(row > 0).tobytes() for _, rows in presence(batch.column("text")) for row in rows]
             yield pa.record_batch([batch.column("lang"), batch.column("key"), pa.array(bits, pa.binary())], names=["lang", "key", "bits"])
 
-    # Some 4 * sample texts of BINS / 8 bytes.
+    # At most ``sample`` texts of BINS / 8 bytes (one per language if there are more languages).
     found = picked.mapInArrow(work, "lang string, key long, bits binary").collect()
-    used: dict[str, int] = {}
     rows, labels = [], []
     for r in sorted(found, key=lambda r: (r["key"], r["lang"])):
-        used[r["lang"]] = used.get(r["lang"], 0) + 1
-        if used[r["lang"]] <= each:
-            rows.append(np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8)).astype(np.float32))
-            labels.append(r["lang"])
+        rows.append(np.unpackbits(np.frombuffer(bytes(r["bits"]), np.uint8)).astype(np.float32))
+        labels.append(r["lang"])
     return Model(np.stack(rows), labels)
 
 

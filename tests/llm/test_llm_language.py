@@ -79,3 +79,14 @@ def test_sample_is_bounded(session, rows):
     copies = [(10_000 + i, rows[0][1], rows[0][2]) for i in range(900)]
     model = language.train(build(session, rows + copies), sample=60)
     assert len(model.landmarks) <= 60
+
+
+def test_a_language_of_many_copies_of_few_texts_is_learned(session, rows):
+    few = [(20_000 + i, f"quo{i % 5} vadis domine{i % 5} quod erat", "cc") for i in range(2000)]
+    docs = build(session, rows + few)
+    model = language.train(docs, sample=40)
+    assert model.languages == ["cc", "xx", "yy", "zz"]
+    # Ten of each of the others, all five of this one.
+    assert len(model.landmarks) == 35
+    got = language.identify(docs.where("lang = 'cc'"), model).groupBy("lang_pred").count().collect()
+    assert [tuple(r) for r in got] == [("cc", 2000)]
