@@ -3,21 +3,25 @@
 Entities found by the fixed patterns (email, ip, card, phone) are the seeds. The words around a seed
 make lexical patterns: the word before it, the word after it, and both. The same patterns are
 collected around all other tokens that could be an identifier. That gives a graph of patterns and
-instances, which Spark scores in rounds:
+instances, an instance being a string (in lower case, without white space), wherever and however often it
+occurs. Spark scores it in rounds until no score changes by ``TOLERANCE`` or more:
 
-* the score of a pattern for a kind is the mean score of the instances it surrounds: one seed counts
-  1 for its kind and 0 for the others, an unknown token counts its score so far, and
-  ``DOUBT`` imaginary instances that are wrong are added, so a pattern must be seen often;
+* the score of a pattern for a kind is the mean score of the different instances it surrounds: a seed
+  counts 1 for its kind and 0 for the others, an unknown string ``TRUST`` of its score so far; ``DOUBT`` imaginary instances that are wrong are added, so a pattern must be seen often;
 * the score of an unknown instance for a kind is that of its best pattern.
 
-Patterns that reach ``MIN_SCORE``, with at least ``MIN_SEEDS`` different seeds in at least
-``MIN_DOCUMENTS`` documents, are accepted; unknown tokens in an accepted pattern whose shape fits the kind
-become spans. A token is unknown if it has at least ``MIN_DIGITS`` digits (or, for emails, an at sign
-between letters) and does not touch a seed. Ordinary words are never candidates.
+Without ``TRUST`` a pattern would vouch for itself: S seeds among any number of unknown strings would end at
+S / (S + DOUBT). Scores never fall from round to round, so they settle.
+
+Patterns count that surround at least ``MIN_SEEDS`` different seeds, in at least
+``MIN_DOCUMENTS`` different texts. Unknown instances that
+reach ``MIN_SCORE``, whose shape fits the kind, become spans where they stand in a pattern that reaches it.
+A token is unknown if it has at least ``MIN_DIGITS`` digits (or, for
+emails, an at sign between letters) and does not touch a seed. Ordinary words are never candidates.
 
 Defined cases: a null text is empty; no seeds give no patterns and so no further spans; a token
-that fits several kinds gets the best one, the first kind listed of equals; repeated rows are
-separate documents; columns other than doc_id and text are ignored.
+that fits several kinds gets the best one, the first kind listed of equals; repeated texts count as
+one document and all get the spans; columns other than doc_id and text are ignored.
 """
 
 from __future__ import annotations
@@ -26,6 +30,7 @@ import re
 from collections.abc import Iterator
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -34,8 +39,10 @@ from perkline.llm.shipping import ship_library
 from perkline.llm.storage import stored
 
 KINDS = ("email", "ip", "card", "phone")
-ROUNDS = 3
 DOUBT = 2.0
+TRUST = 0.76
+TOLERANCE = 0.01
+MAX_ROUNDS = 500  # an error, not a limit
 MIN_SCORE, MIN_SEEDS, MIN_DOCUMENTS, MIN_DIGITS = 0.6, 5, 5, 4
 
 # The patterns of the four kinds.
@@ -45,6 +52,7 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 _DIGIT = re.compile(r"[0-9]")
+_SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
 _WORD_EDGES = ".,;:!?()[]{}<>\"'"
 _SHAPES = {
@@ -125,108 +133,119 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
     return out
 
 
+def instance_hash(found: str) -> int:
+    return xxhash.xxh64_intdigest(_SPACE.sub("", found).lower()) - (1 << 63)
+
+
 _SPAN = "array<struct<kind:string,start:int,end:int>>"
-_CONTEXT = "array<struct<kind:string,start:int,end:int,before:string,after:string,fits:array<string>>>"
+_CONTEXT = "array<struct<kind:string,start:int,end:int,before:string,after:string,fits:array<string>,instance:long>>"
 
 
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     span = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     context = pa.list_(
         pa.struct(
-            [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("before", pa.string()), ("after", pa.string()), ("fits", pa.list_(pa.string()))]
+            [("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32()), ("before", pa.string()), ("after", pa.string()), ("fits", pa.list_(pa.string())), ("instance", pa.int64())]
         )
     )
     for batch in batches:
-        spans, contexts = [], []
+        digests, spans, contexts = [], [], []
         for value in batch.column("text"):
             text = value.as_py() or ""
+            digests.append(xxhash.xxh64_intdigest(text) - (1 << 63))
             if not ("@" in text or "(at)" in text or "[at]" in text or _DIGIT.search(text)):
                 spans.append([])
                 contexts.append([])
                 continue
             found = base_spans(text)
             spans.append([dict(zip(("kind", "start", "end"), s)) for s in found])
-            names = ("kind", "start", "end", "before", "after", "fits")
-            contexts.append([dict(zip(names, c)) for c in _contexts(text, found)])
+            names = ("kind", "start", "end", "before", "after", "fits", "instance")
+            contexts.append([dict(zip(names, (*c, instance_hash(text[c[1] : c[2]])))) for c in _contexts(text, found)])
         yield pa.record_batch(
-            [batch.column("doc_id"), pa.array(spans, span), pa.array(contexts, context)], names=["doc_id", "spans", "contexts"]
+            [batch.column("doc_id"), pa.array(digests, pa.int64()), pa.array(spans, span), pa.array(contexts, context)],
+            names=["doc_id", "digest", "spans", "contexts"],
         )
 
 
 def _bootstrapped(contexts: DataFrame) -> DataFrame:
-    """New spans (row, kind, start, end) from contexts (row, kind, start, end, before, after, fits)."""
+    """New spans (row, kind, start, end) from contexts (row, text, kind, start, end, before, after, fits, instance)."""
     patterns = F.array(
         F.struct(F.lit("before").alias("side"), F.col("before").alias("before"), F.lit("").alias("after")),
         F.struct(F.lit("after").alias("side"), F.lit("").alias("before"), F.col("after").alias("after")),
         F.struct(F.lit("both").alias("side"), F.col("before").alias("before"), F.col("after").alias("after")),
     )
-    edges = contexts.withColumn("pattern", F.explode(patterns)).where(
+    places = contexts.withColumn("pattern", F.explode(patterns)).where(
         ~((F.col("pattern.side") == "before") & F.col("before").isin("", "^"))
         & ~((F.col("pattern.side") == "after") & F.col("after").isin("", "$"))
     )
-    edges = edges.select("row", "kind", "start", "end", "fits", F.xxhash64("pattern").alias("pattern"))
-    # Only patterns around enough seeds can ever be accepted; the rest of the graph is left out.
-    seeds = (
-        edges.where(F.col("kind").isNotNull())
-        .groupBy("pattern", F.col("kind").alias("of"))
-        .agg(F.count("*").alias("seeds"))
+    places = places.withColumn("pattern", F.xxhash64("pattern"))
+    # Copies of a text, and of a string in one pattern of a text, are gone.
+    edges = stored(
+        places.select("pattern", "instance", F.explode("fits").alias("of"), F.col("kind").isNotNull().alias("seed"), "text").distinct(),
+        "pii-edges",
+    )
+    # Only patterns in enough texts can ever be accepted, and none without an unknown instance has a use.
+    useful = (
+        edges.select("pattern", "of", "text", "seed").distinct().groupBy("pattern", "of")
+        .agg(F.count_distinct("text").alias("texts"), F.min("seed").alias("only_seeds"))
+        .where((F.col("texts") >= MIN_DOCUMENTS) & ~F.col("only_seeds"))
+    )
+    known = edges.where("seed").select("instance", "of").distinct().withColumn("known", F.lit(1.0))
+    graph = stored(
+        edges.join(useful.select("pattern", "of"), ["pattern", "of"], "left_semi").join(known, ["instance", "of"], "left"),
+        "pii-graph",
     )
-    enough = (
-        edges.where(F.col("kind").isNotNull())
-        .select("pattern", F.col("kind").alias("of"), "row")
-        .distinct()
-        .groupBy("pattern", "of")
-        .agg(F.count("*").alias("documents"))
-        .where(F.col("documents") >= MIN_DOCUMENTS)
+    # What a pattern surrounds: the strings that fit the kind, and the seeds of other kinds.
+    of_kind = graph.groupBy("pattern", "of").agg(F.count_distinct("instance").alias("n"))
+    seeds = edges.where("seed").select("pattern", F.col("of").alias("kind"), "instance").distinct()
+    of_others = (
+        graph.select("pattern", "of").distinct().join(seeds, "pattern").where("kind != of")
+        .groupBy("pattern", "of").agg(F.count("*").alias("others"))
     )
-    strong = seeds.where(F.col("seeds") >= MIN_SEEDS).join(enough, ["pattern", "of"]).select("pattern", "of", "seeds")
-    edges = stored(edges.join(strong.select("pattern").distinct(), "pattern"), "pii-edges")
-    strong = stored(strong, "pii-patterns")
-
-    others = edges.where(F.col("kind").isNotNull()).groupBy("pattern").agg(F.count("*").alias("all_seeds"))
-    unknown = stored(
-        edges.where(F.col("kind").isNull())
-        .select("pattern", "row", "start", "end", F.explode("fits").alias("of"))
-        .join(strong, ["pattern", "of"])
-        .select("pattern", "of", "row", "start", "end"),
-        "pii-unknown",
+    sizes = stored(
+        of_kind.join(of_others, ["pattern", "of"], "left")
+        .select("pattern", "of", (F.col("n") + F.coalesce("others", F.lit(0)) + DOUBT).alias("size")),
+        "pii-sizes",
     )
-    scores = None
-    for _ in range(ROUNDS):
-        if scores is None:
-            around = unknown.groupBy("pattern", "of").agg(F.count("*").alias("n"), F.lit(0.0).alias("sum"))
-        else:
-            around = (
-                unknown.join(scores, ["row", "start", "end", "of"])
-                .groupBy("pattern", "of")
-                .agg(F.count("*").alias("n"), F.sum("score").alias("sum"))
-            )
-        scored = (
-            strong.join(others, "pattern")
-            .join(around, ["pattern", "of"], "left")
-            .na.fill(0, ["n", "sum"])
-            .select(
-                "pattern",
-                "of",
-                ((F.col("seeds") + F.col("sum")) / (F.col("all_seeds") + F.col("n") + DOUBT)).alias("pattern_score"),
-            )
+
+    none = graph.sparkSession.createDataFrame([], "instance long, of string, score double")
+    scores, total = none, 0.0
+    for _ in range(MAX_ROUNDS):
+        now = graph.join(scores, ["instance", "of"], "left").withColumn("score", F.coalesce("known", "score", F.lit(0.0)))
+        accepted = F.col("score") >= 1  # the seeds; an unknown string stays below
+        each = now.groupBy("pattern", "of", "instance").agg(F.first("score").alias("score"))
+        sums = each.groupBy("pattern", "of").agg(
+            F.sum(F.when(accepted, 1.0).otherwise(F.col("score") * TRUST)).alias("sum"), F.count_if(accepted).alias("sure")
+        )
+        texts = now.where(accepted).select("pattern", "of", "text").distinct().groupBy("pattern", "of").agg(F.count("*").alias("texts"))
+        scored = stored(
+            sums.where(F.col("sure") >= MIN_SEEDS)
+            .join(texts.where(F.col("texts") >= MIN_DOCUMENTS), ["pattern", "of"])
+            .join(sizes, ["pattern", "of"])
+            .select("pattern", "of", (F.col("sum") / F.col("size")).alias("pattern_score")),
+            "pii-pattern-scores",
         )
-        scored = stored(scored, "pii-pattern-scores")
+        before = scores
         scores = stored(
-            unknown.join(scored, ["pattern", "of"])
-            .groupBy("row", "start", "end", "of")
-            .agg(F.max("pattern_score").alias("score")),
+            graph.where("known is null").select("pattern", "of", "instance").distinct().join(scored, ["pattern", "of"])
+            .groupBy("instance", "of").agg(F.max("pattern_score").alias("score")),
             "pii-scores",
         )
+        change = scores.join(before.withColumnRenamed("score", "old"), ["instance", "of"], "left")
+        change = change.agg(F.max(F.col("score") - F.coalesce("old", F.lit(0.0)))).first()[0]
+        if change is None or change < TOLERANCE:
+            break
+    else:
+        raise RuntimeError(f"scores did not settle in {MAX_ROUNDS} rounds")
+    unknown = places.where("kind is null").select("row", "pattern", "start", "end", F.explode("fits").alias("of"))
+    found = (
+        unknown.join(scored.where(F.col("pattern_score") >= MIN_SCORE), ["pattern", "of"])
+        .groupBy("row", "start", "end", "of").agg(F.max("pattern_score").alias("score"))
+    )
     best = F.row_number().over(
         Window.partitionBy("row", "start", "end").orderBy(F.desc("score"), _kind_order(F.col("of")))
     )
-    return (
-        scores.where(F.col("score") >= MIN_SCORE)
-        .withColumn("nth", best)
-        .where("nth = 1")
-        .select("row", F.col("of").alias("kind"), "start", "end")
-    )
+    return found.withColumn("nth", best).where("nth = 1").select("row", F.col("of").alias("kind"), "start", "end")
 
 
 def _kind_order(kind: Column) -> Column:
@@ -237,10 +256,10 @@ def find_personal_data(docs: DataFrame) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, base and found, both arrays of (kind, start, end) in code
     points, end exclusive, by start, then kind. ``found`` has the base spans and those discovered."""
     ship_library(docs.sparkSession)
-    fields = [docs.schema["doc_id"], *T.StructType.fromDDL(f"spans {_SPAN}, contexts {_CONTEXT}").fields]
+    fields = [docs.schema["doc_id"], *T.StructType.fromDDL(f"digest long, spans {_SPAN}, contexts {_CONTEXT}").fields]
     scanned = docs.select("doc_id", "text").mapInArrow(_scan, T.StructType(fields))
     scanned = stored(scanned.withColumn("row", F.monotonically_increasing_id()), "pii-spans")
-    contexts = scanned.select("row", F.explode("contexts").alias("c")).select("row", "c.*")
+    contexts = scanned.select("row", "digest", F.explode("contexts").alias("c")).select("row", F.col("digest").alias("text"), "c.*")
     added = _bootstrapped(contexts).groupBy("row").agg(
         F.collect_list(F.struct("kind", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("added")
     )

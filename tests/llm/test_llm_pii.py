@@ -63,6 +63,19 @@ def test_unsure_contexts_discover_nothing(documents):
     assert all(got[100 + i] == [] for i in range(60))
 
 
+def spans(documents, pairs, **options):
+    text = dict(pairs)
+    rows = pii.find_personal_data(documents(pairs), **options).collect()
+    return {r["doc_id"]: [(s["kind"], text[r["doc_id"]][s["start"] : s["end"]]) for s in r["found"]] for r in rows}
+
+
+def test_a_document_copied_often_does_not_spoil_its_context(documents):
+    pairs = [(i, f"Text number {i} kind. Contact: person{i}@mail{i}.example.com for more.") for i in range(10)]
+    pairs += [(100 + i, "Words first. Contact: anna(at)mail-example.com for more.") for i in range(1000)]
+    got = spans(documents, pairs)
+    assert all(got[100 + i] == [("email", "anna(at)mail-example.com")] for i in range(1000))
+
+
 def test_odd_rows(documents, odd_texts):
     out = pii.find_personal_data(documents(odd_texts)).collect()
     assert len(out) == len(odd_texts) and all(r["base"] == [] and r["found"] == [] for r in out)
