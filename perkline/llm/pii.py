@@ -7,16 +7,17 @@ instances, an instance being a string (in lower case, without white space), wher
 occurs. Spark scores it in rounds until no score changes by ``TOLERANCE`` or more:
 
 * the score of a pattern for a kind is the mean score of the different instances it surrounds: a seed
-  counts 1 for its kind and 0 for the others, an unknown string ``TRUST`` of its score so far; ``DOUBT`` imaginary instances that are wrong are added, so a pattern must be seen often;
+  counts 1 for its kind and 0 for the others, an unknown string ``TRUST`` of its score so far, or 1 once it is
+  accepted; ``DOUBT`` imaginary instances that are wrong are added, so a pattern must be seen often;
 * the score of an unknown instance for a kind is that of its best pattern.
 
 Without ``TRUST`` a pattern would vouch for itself: S seeds among any number of unknown strings would end at
 S / (S + DOUBT). Scores never fall from round to round, so they settle.
 
-Patterns count that surround at least ``MIN_SEEDS`` different seeds, in at least
-``MIN_DOCUMENTS`` different texts. Unknown instances that
-reach ``MIN_SCORE``, whose shape fits the kind, become spans where they stand in a pattern that reaches it.
-A token is unknown if it has at least ``MIN_DIGITS`` digits (or, for
+Patterns count that surround at least ``MIN_SEEDS`` different seeds or accepted instances, in at least
+``MIN_DOCUMENTS`` different texts; so what is accepted leads to further patterns. Unknown instances that
+reach ``MIN_SCORE``, whose shape fits the kind, become spans where they stand in a pattern that reaches it,
+or, with ``everywhere``, wherever they occur. A token is unknown if it has at least ``MIN_DIGITS`` digits (or, for
 emails, an at sign between letters) and does not touch a seed. Ordinary words are never candidates.
 
 Defined cases: a null text is empty; no seeds give no patterns and so no further spans; a token
@@ -167,7 +168,7 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def _bootstrapped(contexts: DataFrame) -> DataFrame:
+def _bootstrapped(contexts: DataFrame, everywhere: bool) -> DataFrame:
     """New spans (row, kind, start, end) from contexts (row, text, kind, start, end, before, after, fits, instance)."""
     patterns = F.array(
         F.struct(F.lit("before").alias("side"), F.col("before").alias("before"), F.lit("").alias("after")),
@@ -212,7 +213,7 @@ def _bootstrapped(contexts: DataFrame) -> DataFrame:
     scores, total = none, 0.0
     for _ in range(MAX_ROUNDS):
         now = graph.join(scores, ["instance", "of"], "left").withColumn("score", F.coalesce("known", "score", F.lit(0.0)))
-        accepted = F.col("score") >= 1  # the seeds; an unknown string stays below
+        accepted = F.col("score") >= MIN_SCORE
         each = now.groupBy("pattern", "of", "instance").agg(F.first("score").alias("score"))
         sums = each.groupBy("pattern", "of").agg(
             F.sum(F.when(accepted, 1.0).otherwise(F.col("score") * TRUST)).alias("sum"), F.count_if(accepted).alias("sure")
@@ -237,11 +238,18 @@ def _bootstrapped(contexts: DataFrame) -> DataFrame:
             break
     else:
         raise RuntimeError(f"scores did not settle in {MAX_ROUNDS} rounds")
-    unknown = places.where("kind is null").select("row", "pattern", "start", "end", F.explode("fits").alias("of"))
-    found = (
-        unknown.join(scored.where(F.col("pattern_score") >= MIN_SCORE), ["pattern", "of"])
-        .groupBy("row", "start", "end", "of").agg(F.max("pattern_score").alias("score"))
-    )
+    sure = scores.where(F.col("score") >= MIN_SCORE)
+    if everywhere:
+        # A string that is a seed elsewhere needs no context either.
+        sure = sure.unionByName(known.select("instance", "of", F.col("known").alias("score")))
+        unknown = contexts.where("kind is null").select("row", "instance", "start", "end", F.explode("fits").alias("of"))
+        found = unknown.join(sure, ["instance", "of"]).select("row", "start", "end", "of", "score")
+    else:
+        unknown = places.where("kind is null").select("row", "pattern", "start", "end", F.explode("fits").alias("of"))
+        found = (
+            unknown.join(scored.where(F.col("pattern_score") >= MIN_SCORE), ["pattern", "of"])
+            .groupBy("row", "start", "end", "of").agg(F.max("pattern_score").alias("score"))
+        )
     best = F.row_number().over(
         Window.partitionBy("row", "start", "end").orderBy(F.desc("score"), _kind_order(F.col("of")))
     )
@@ -252,15 +260,16 @@ def _kind_order(kind: Column) -> Column:
     return F.array_position(F.array(*map(F.lit, KINDS)), kind)
 
 
-def find_personal_data(docs: DataFrame) -> DataFrame:
+def find_personal_data(docs: DataFrame, everywhere: bool = False) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, base and found, both arrays of (kind, start, end) in code
-    points, end exclusive, by start, then kind. ``found`` has the base spans and those discovered."""
+    points, end exclusive, by start, then kind. ``found`` has the base spans and those discovered: in
+    accepted contexts or, with ``everywhere``, all occurrences of the accepted strings."""
     ship_library(docs.sparkSession)
     fields = [docs.schema["doc_id"], *T.StructType.fromDDL(f"digest long, spans {_SPAN}, contexts {_CONTEXT}").fields]
     scanned = docs.select("doc_id", "text").mapInArrow(_scan, T.StructType(fields))
     scanned = stored(scanned.withColumn("row", F.monotonically_increasing_id()), "pii-spans")
     contexts = scanned.select("row", "digest", F.explode("contexts").alias("c")).select("row", F.col("digest").alias("text"), "c.*")
-    added = _bootstrapped(contexts).groupBy("row").agg(
+    added = _bootstrapped(contexts, everywhere).groupBy("row").agg(
         F.collect_list(F.struct("kind", F.col("start").cast("int").alias("start"), F.col("end").cast("int").alias("end"))).alias("added")
     )
     joined = F.concat("spans", F.coalesce("added", F.array().cast(_SPAN)))

@@ -178,7 +178,7 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op5_pii")
 def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = pii.find_personal_data(table(spark, sf_dir, "documents"))
+    found = pii.find_personal_data(table(spark, sf_dir, "documents"), everywhere=True)
     count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
     return found.select(
         "doc_id",

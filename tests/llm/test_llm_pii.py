@@ -76,6 +76,18 @@ def test_a_document_copied_often_does_not_spoil_its_context(documents):
     assert all(got[100 + i] == [("email", "anna(at)mail-example.com")] for i in range(1000))
 
 
+def test_discovered_identifiers_lead_to_further_contexts(documents):
+    pairs = [(i, f"Text number {i} kind. Contact: person{i}@mail{i}.example.com for more.") for i in range(30)]
+    pairs += [(100 + i, f"Words {i} first. Contact: anna{i}(at)mail-example.com for more.") for i in range(8)]
+    pairs += [(200 + i, f"Page {i} now. Author anna{i}(at)mail-example.com wrote.") for i in range(8)]
+    pairs += [(300, "Page last. Author bert(at)mail-example.com wrote."), (301, "Mention bert(at)mail-example.com elsewhere.")]
+    found = [("email", "bert(at)mail-example.com")]
+    got = spans(documents, pairs)
+    assert got[300] == found and got[301] == []
+    got = spans(documents, pairs, everywhere=True)
+    assert got[300] == got[301] == found
+
+
 def test_odd_rows(documents, odd_texts):
     out = pii.find_personal_data(documents(odd_texts)).collect()
     assert len(out) == len(odd_texts) and all(r["base"] == [] and r["found"] == [] for r in out)
