@@ -18,7 +18,9 @@ Patterns count that surround at least ``MIN_SEEDS`` different seeds or accepted
 ``MIN_DOCUMENTS`` different texts; so what is accepted leads to further patterns. Unknown instances that
 reach ``MIN_SCORE``, whose shape fits the kind, become spans where they stand in a pattern that reaches it,
 or, with ``everywhere``, wherever they occur. A token is unknown if it has at least ``MIN_DIGITS`` digits (or, for
-emails, an at sign between letters) and does not touch a seed. Ordinary words are never candidates.
+emails, an at sign between letters) and does not touch a seed. Neighbouring tokens of digits, with brackets,
+dots and hyphens, are one unknown string if they have the digits of a card or phone number together; for
+that kind they are then none by themselves. Ordinary words are never candidates.
 
 Defined cases: a null text is empty; no seeds give no patterns and so no further spans; a token
 that fits several kinds gets the best one, the first kind listed of equals; repeated texts count as
@@ -55,6 +57,9 @@ PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _DIGIT = re.compile(r"[0-9]")
 _SPACE = re.compile(r"[\x20\x09-\x0D]+")
 _TOKEN = re.compile(r"[^\x20\x09-\x0D]+")
+_RUN_TOKEN = re.compile(r"[+(]*[0-9][().0-9/-]*[,;:!?\"']*")
+_RUN_END = re.compile(r"[,;:!?\"']$")
+_RUN_DIGITS = {"card": (14, 19), "phone": (7, 15)}
 _WORD_EDGES = ".,;:!?()[]{}<>\"'"
 _SHAPES = {
     "email": re.compile(r"[^@\s]*[A-Za-z][^@\s]*(@|\(at\)|\[at\])[^@\s]*[A-Za-z][^@\s]*"),
@@ -121,6 +126,26 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
             last += 1
         touched.update(range(at, last + 1))
         out.append((kind, start, end, *context(at, last), [kind]))
+    # Maximal runs of at least two tokens of digits; those with the digits of a kind are whole candidates.
+    in_run: dict[int, set[str]] = {}
+    i = 0
+    while i < len(around):
+        first = i
+        while i < len(around) and i not in touched and _RUN_TOKEN.fullmatch(around[i][0]):
+            i += 1
+            if _RUN_END.search(around[i - 1][0]):
+                break
+        if i - first >= 2:
+            start = starts[first]
+            run = text[start : ends[i - 1]].rstrip(".,;:!?\"'(/-")
+            if run.endswith(")") and run.count(")") > run.count("("):
+                run = run[:-1]
+            n = len(_DIGIT.findall(run))
+            fits = [k for k, (low, high) in _RUN_DIGITS.items() if low <= n <= high and _SHAPES[k].fullmatch(_SPACE.sub("", run))]
+            if fits:
+                out.append((None, start, start + len(run), *context(first, i - 1), fits))
+                in_run.update((j, set(fits)) for j in range(first, i))
+        i = max(i, first + 1)
     for i, m in enumerate(around):
         if i in touched:
             continue
@@ -128,6 +153,7 @@ def _contexts(text: str, spans: list[tuple[str, int, int]]) -> list[tuple]:
         if not token or not ("@" in token or len(_DIGIT.findall(token)) >= MIN_DIGITS or "at)" in token or "at]" in token):
             continue
         fits = [k for k in KINDS if _SHAPES[k].fullmatch(token) and (k == "email" or len(_DIGIT.findall(token)) >= MIN_DIGITS)]
+        fits = [k for k in fits if k not in in_run.get(i, ())]
         if fits:
             start = m.start() + m[0].index(token)
             out.append((None, start, start + len(token), *context(i, i), fits))

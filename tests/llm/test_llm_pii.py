@@ -88,6 +88,17 @@ def test_discovered_identifiers_lead_to_further_contexts(documents):
     assert got[300] == got[301] == found
 
 
+def test_numbers_written_with_spaces_are_found_whole(documents):
+    pairs = [(i, f"Some text {i} with Telefon: +1 (555) 010-{1000 + i} daily.") for i in range(30)]
+    pairs += [(100 + i, f"Other text {i} on Karte: 4111 1111 1111 1111 x.".replace("1111 x", f"1111 w{i}")) for i in range(3)]
+    cards = ["4111111111111111", "378282246310005", "5555555555554444", "6011111111111117", "3530111333300000", "4012888888881881", "5105105105105100", "371449635398431"]
+    pairs += [(200 + i, f"Paid {i} by Karte: {c} today.") for i, c in enumerate(cards)]
+    pairs += [(300, "Or Telefon: 030 555 12 34 daily."), (301, "Paid by Karte: 4111 1111 1111 1112 today.")]
+    got = spans(documents, pairs)
+    assert got[300] == [("phone", "030 555 12 34")]
+    assert got[301] == [("card", "4111 1111 1111 1112")]
+
+
 def test_odd_rows(documents, odd_texts):
     out = pii.find_personal_data(documents(odd_texts)).collect()
     assert len(out) == len(odd_texts) and all(r["base"] == [] and r["found"] == [] for r in out)
