@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 from collections import defaultdict
 
+from perkline.llm.queries import QUERIES
 from perkline.llm.sharding import shard_documents, splitters
 
 
@@ -71,3 +72,16 @@ def test_splitters_come_as_near_as_the_keys_allow(session):
 def test_plan_has_no_python(documents):
     plan = shard_documents(documents([(1, "a")]))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_the_query_shards_the_texts_themselves(session, documents, tmp_path):
+    documents([(i, f"text {i}") for i in range(50)]).write.parquet(str(tmp_path / "documents.parquet"))
+    plan = QUERIES["op2_sharding"](session, str(tmp_path))._jdf.queryExecution().optimizedPlan()
+
+    def nodes(node):
+        yield node
+        for i in range(node.children().size()):
+            yield from nodes(node.children().apply(i))
+
+    sorted_rows = [n.output().mkString(",") for n in nodes(plan) if n.nodeName() == "Window"]
+    assert any("doc_id#" in out and "text#" in out for out in sorted_rows)
