@@ -12,7 +12,7 @@ Settings name where every table is::
         "source_activities": {"kind": "jdbc", "url": "jdbc:postgresql://…", "table": "public.activities",
                               "options": {"user": "…"}, "split": {"column": "activity_id", "partitions": 64}}},
      "paths":  {"reports": "…", "results": "…", "checkpoints": "…"},
-     "single_file_reports": true,
+     "single_file_reports": ["employee_benefits"],
      "apply_interval": "10 minutes",
      "topic":  {"format": "kafka", "servers": "…", "name": "…", "starting": "latest"}}
 

@@ -22,15 +22,17 @@ def export_reports(
     activities: DataFrame,
     folder: str,
     expected_employees: int | None = None,
-    single_file: bool = False,
+    single_file: bool | list[str] = False,
 ) -> dict[str, str]:
     """Check both tables, then write both reports. Nothing is written if a check fails.
 
-    ``single_file`` makes one file of each, for a desktop tool.
+    ``single_file`` names the reports that become one file, for a desktop tool; True means both. Activities
+    have no bound, so one file of them is one task for the whole table.
     """
+    single = lambda name: name in single_file if isinstance(single_file, list) else single_file
     require_rows(benefits, ["employee_id"], expected_employees, "export of benefits")
     require_rows(activities, ["activity_id"], None, "export of activities")
     return {
-        "employee_benefits": write_report(benefits_view(benefits), folder, "employee_benefits", single_file),
-        "activities": write_report(activities_view(activities), folder, "activities", single_file),
+        "employee_benefits": write_report(benefits_view(benefits), folder, "employee_benefits", single("employee_benefits")),
+        "activities": write_report(activities_view(activities), folder, "activities", single("activities")),
     }

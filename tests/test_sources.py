@@ -5,6 +5,7 @@ import os
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import rows, values
 from perkline.operators.checks import QualityError
@@ -104,6 +105,17 @@ def test_export_is_gated(spark, folder):
         assert "comment" not in file.read()
 
 
+def test_one_file_of_benefits_leaves_activities_in_part_files(spark, folder):
+    benefits = spark.createDataFrame([tuple([1] + [None] * 15)], ", ".join(f"{c} int" for c in schemas.BENEFIT_COLUMNS))
+    activities = spark.range(6, numPartitions=3).select(F.col("id").alias("activity_id"))
+    for f in spark.createDataFrame([], schemas.ACTIVITIES).schema:
+        if f.name != "activity_id":
+            activities = activities.withColumn(f.name, F.lit(None).cast(f.dataType))
+    written = reporting.export_reports(benefits, activities, folder, 1, single_file=["employee_benefits"])
+    assert os.path.isfile(written["employee_benefits"])
+    assert len([f for f in os.listdir(written["activities"]) if f.startswith("part-")]) == 3
+
+
 def test_database_options():
     db = jdbc.Database("jdbc:postgresql://h/db", {"user": "u", "driver": "org.postgresql.Driver"})
     assert jdbc.read_options(db, "public.t") == {
