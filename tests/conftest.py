@@ -33,13 +33,3 @@ def spark(tmp_path_factory):
 def folder(tmp_path):
     """A fresh folder per test, as text."""
     return str(tmp_path)
-
-
-def rows(df):
-    """All rows as sorted tuples of (column, value), for comparing small results."""
-    names = sorted(df.columns)
-    return sorted((tuple((n, r[n]) for n in names) for r in df.collect()), key=repr)
-
-
-def values(df, name="check_name", value="value"):
-    return {r[name]: r[value] for r in df.collect()}

@@ -5,7 +5,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import rows, values
+from helpers import rows, values
 from perkline import schemas
 from perkline.operators.comparing import against_expected, expected_metrics, metric_rows
 from perkline.operators.rules import commute_rules, known_sports, uncovered

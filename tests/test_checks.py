@@ -6,7 +6,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import types as T
 
-from conftest import rows, values
+from helpers import rows, values
 from perkline import schemas
 from perkline.operators.checks import (
     Check,

@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import values
+from helpers import values
 from perkline import jobs, schemas
 from perkline.operators.checks import QualityError
 from perkline.sources import tables

@@ -7,7 +7,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from perkline.operators.checks import QualityError
 from perkline.operators import merging
 from perkline.operators.merging import (

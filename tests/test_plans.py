@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from conftest import values
+from helpers import values
 from perkline import schemas
 from perkline.operators.checks import key_measures
 from perkline.operators.merging import merged

@@ -7,7 +7,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import rows, values
+from helpers import rows, values
 from perkline.operators.checks import QualityError
 from perkline.operators.cleaning import missing_to_null, rename_headers
 from perkline.plans import people, reporting
