@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from perkline.llm import chat, decontamination, language, mixing, ngram_join, pii, quality, sharding, urls, warc
+from perkline.llm import (
+    chat,
+    decontamination,
+    language,
+    manifest,
+    mixing,
+    ngram_join,
+    pii,
+    quality,
+    sharding,
+    urls,
+    warc,
+)
 from perkline.session import shared_dir
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -194,3 +206,74 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     predicted = language.identify(docs, language.train(docs))
     return predicted.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
+def _op12_leaf(n_chars: str) -> str:
+    fields = ("doc_id", "source", "lang", n_chars, "text")
+    parts = [f"coalesce(octet_length(encode(({f})::VARCHAR)) || ':' || ({f})::VARCHAR, '-')" for f in fields]
+    return f"sha256({' || '.join(parts)})"
+
+
+def _op12_levels(name: str, start: str, paths: str, depth: int) -> str:
+    """Trees over ``start`` (tree, idx, n, node), and ``paths`` (rid, tree, idx, n, fold, sibs) carried to their roots."""
+    out = f"{name}_t0 AS ({start}), {name}_p0 AS ({paths})"
+    for k in range(depth):
+        t, p = f"{name}_t{k}", f"{name}_p{k}"
+        out += f""",
+{name}_t{k + 1} AS (SELECT tree, idx // 2 AS idx, (n + 1) // 2 AS n, sha256(string_agg(node, '' ORDER BY idx)) AS node
+  FROM (SELECT tree, idx, n, node FROM {t} WHERE n > 1) GROUP BY tree, idx // 2, n),
+{name}_p{k + 1} AS (SELECT p.rid, p.tree, CASE WHEN p.n > 1 THEN p.idx // 2 ELSE p.idx END AS idx, CASE WHEN p.n > 1 THEN (p.n + 1) // 2 ELSE p.n END AS n,
+  CASE WHEN p.n = 1 THEN fold WHEN p.idx % 2 = 1 THEN sha256(s.node || fold) ELSE sha256(fold || coalesce(s.node, '')) END AS fold,
+  CASE WHEN p.n = 1 THEN sibs ELSE sibs || coalesce(s.node, '') END AS sibs
+  FROM {p} p LEFT JOIN {t} s ON p.n > 1 AND s.n > 1 AND s.tree = p.tree AND s.idx = xor(p.idx, 1))"""
+    tops = " UNION ALL ".join(f"SELECT tree, node FROM {name}_t{k} WHERE n = 1" for k in range(depth + 1))
+    return out + f",\n{name}_roots AS ({tops}), {name}_paths AS (SELECT * FROM {name}_p{depth})"
+
+
+OP12_SQL = f"""
+WITH r AS (SELECT *, row_number() OVER () AS rid, coalesce('1' || lang, '0') AS tree, {_op12_leaf("n_chars")} AS leaf,
+  {_op12_leaf("n_chars + 1")} AS other,
+  xor(4294967295, list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+    lambda crc, b: list_reduce([xor(crc, b)] || range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384)))) % 7 = 0 AS hit
+  FROM documents),
+d AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx, count(*) OVER (PARTITION BY tree) AS n FROM r),
+{_op12_levels(
+    "a",
+    "SELECT tree, idx, n, leaf AS node FROM d",
+    "SELECT rid, tree, idx, n, CASE WHEN hit AND n_chars IS NOT NULL THEN other ELSE leaf END AS fold, '' AS sibs FROM d",
+    24,
+)},
+langs AS (SELECT tree AS member, node, row_number() OVER (ORDER BY tree) - 1 AS idx, count(*) OVER () AS n FROM a_roots),
+{_op12_levels(
+    "b",
+    "SELECT 'all' AS tree, idx, n, node FROM langs",
+    "SELECT rid, 'all' AS tree, l.idx, l.n, fold, sibs FROM a_paths p JOIN langs l ON l.member = p.tree",
+    10,
+)}
+SELECT d.doc_id, d.leaf, a_roots.node AS subroot, b_roots.node AS root, sha256(p.sibs) AS proof_sha256, p.fold AS folded_root,
+  p.fold = b_roots.node AS verified
+FROM d JOIN b_paths p USING (rid) JOIN a_roots ON a_roots.tree = d.tree CROSS JOIN b_roots
+"""
+
+
+@query("op12_manifest", OP12_SQL)
+def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 7 == 0
+    tampered = [F.col("n_chars") + 1 if f == "n_chars" else F.col(f) for f in manifest.FIELDS]
+    keep = {
+        "doc_id": F.col("doc_id"),
+        "tampered": F.when(hit & F.col("n_chars").isNotNull(), manifest.leaf_digest(tampered)),
+    }
+    made = manifest.merkle_manifest(docs, keep=keep)
+    shown = F.coalesce("kept.tampered", "leaf")
+    folded = made.withColumn("folded_root", manifest.folded(shown, F.col("witness")))
+    return folded.select(
+        "kept.doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("witness")).alias("proof_sha256"),
+        "folded_root",
+        (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
