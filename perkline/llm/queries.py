@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from perkline.llm import (
     chat,
     decontamination,
+    fingerprints,
     language,
     manifest,
     mixing,
@@ -277,3 +278,10 @@ def op12_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         "folded_root",
         (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query("op13_fingerprints")
+def op13_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    printed = fingerprints.fingerprint_documents(table(spark, sf_dir, "documents"))
+    as_text = {name: F.lower(F.hex(name)) for name in ("fingerprint", "edited_fingerprint")}
+    return printed.withColumns(as_text)
