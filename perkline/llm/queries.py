@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from perkline.llm import (
     chat,
+    collocations,
     decontamination,
     fingerprints,
     language,
@@ -209,6 +210,38 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predicted.select("doc_id", language.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+OP11_SQL = r"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM p),
+words AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+f AS (
+  SELECT lang, m, phrase, count(*) AS a
+  FROM (SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+        FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i FROM w, (SELECT unnest(range(1, 6)) AS m) WHERE len(w) >= m))
+  GROUP BY ALL HAVING count(*) >= 100),
+cuts AS (
+  SELECT lang, m, phrase, a, k, array_to_string(list_slice(string_split(phrase, ' '), 1, k), ' ') AS head,
+    array_to_string(list_slice(string_split(phrase, ' '), k + 1, m), ' ') AS rest
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1)),
+scored AS (
+  SELECT c.lang, c.m, c.phrase, c.a, k, x.a AS l, y.a AS r, words.n, ((1000::HUGEINT * c.a * words.n) // (x.a::HUGEINT * y.a))::BIGINT AS score
+  FROM cuts c JOIN f x ON x.lang = c.lang AND x.phrase = head JOIN f y ON y.lang = c.lang AND y.phrase = rest JOIN words ON words.lang = c.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+kept AS (
+  SELECT * FROM best b WHERE NOT EXISTS (
+    SELECT 1 FROM f q WHERE q.lang = b.lang AND q.m > b.m AND q.a >= b.a AND contains(' ' || q.phrase || ' ', ' ' || b.phrase || ' ')))
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept QUALIFY rank <= 2000
+"""
+
+
+@query("op11_collocations", OP11_SQL)
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("text", "lang"))
+
+
 def _op12_leaf(n_chars: str) -> str:
     fields = ("doc_id", "source", "lang", n_chars, "text")
     parts = [f"coalesce(octet_length(encode(({f})::VARCHAR)) || ':' || ({f})::VARCHAR, '-')" for f in fields]
