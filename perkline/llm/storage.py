@@ -22,11 +22,13 @@ def stored(df: DataFrame, purpose: str) -> DataFrame:
 
 def discard(df: DataFrame) -> None:
     """Deletes a table made by :func:`stored` whose readers are all stored themselves."""
-    spark = df.sparkSession
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
-        path = jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(conf).delete(path, True)
+        discard_folder(df.sparkSession, folder)
+
+
+def discard_folder(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def release_shuffles(spark: SparkSession) -> None:

@@ -108,19 +108,39 @@ def test_large_products_are_exact(session):
 
 
 def test_index_intervals():
-    # Both directions of the index against the positions of a random text.
+    # Extensions in both directions against the positions of a random text.
     rng = random.Random(2)
     text = "".join(rng.choice("ab c.") for _ in range(4000))
-    (words, new, rows), = co.words_of(pa.array([text]))
-    entries, left, right = co.index_of([(words, new, rows.astype(np.int64))], ["en"], 3)
-    low = entries.field("low").to_numpy().astype(np.int64)
-    size = entries.field("size").to_numpy().astype(np.int64)
-    names = entries.field("word").to_pylist()
+    ((words, new, rows),) = co.words_of(pa.array([text]))
+    symbols, names, _ = co.sequence_of(words, new, rows.astype(np.int64))
+    names = names.to_pylist()
+    left, right = co.transform(symbols, 3), co.transform(symbols[::-1], 3)
+    counts = np.bincount(symbols)
+    low, size = (np.cumsum(counts) - counts)[1:], counts[1:]
     two = Counter(tuple(p[i : i + 2]) for p in pieces_of(text) for i in range(len(p) - 1))
-    lows, sizes, others, of, at = co.extended(left, low, size, low)
-    assert {(names[a], names[b]): s for a, b, s in zip(at, of, sizes)} == dict(two)
-    order = np.argsort(others)
-    back = co.extended(right, low, size, low)
+    lows, sizes, others, of, word = co.extended(left, low, size, low)
+    assert {(names[a - 1], names[b]): s for a, b, s in zip(word, of, sizes)} == dict(two)
     # The backward index has the same pairs, and says where they lie in the forward one.
+    back = co.extended(right, low, size, low)
     assert sorted(zip(others, sizes, lows)) == sorted(zip(back[0], back[1], back[2]))
+    order = np.argsort(others)
     assert (np.diff(others[order]) >= sizes[order][:-1]).all()
+
+
+def test_cut_sequence():
+    symbols = np.array([0, 1, 2, 3, 0, 4, 5, 0, 6], np.int32)
+    pairs = {(1, 2), (4, 5)}
+    alive = np.array([(a, b) in pairs for a, b in zip(symbols, symbols[1:])])
+    assert co.cut_sequence(symbols, alive).tolist() == [0, 1, 2, 0, 4, 5]
+    chain = np.array([0, 1, 2, 3, 4], np.int32)
+    assert co.cut_sequence(chain, np.array([False, True, False, True])).tolist() == [0, 1, 2, 0, 3, 4]
+    assert co.cut_sequence(chain, np.array([False, True, True, False])).tolist() == [0, 1, 2, 3]
+    assert co.cut_sequence(chain, np.zeros(4, bool)).tolist() == []
+
+
+def test_few_and_small_slices(session, rows, monkeypatch):
+    # Many words share a bucket, and every shard's buckets lie in many slices.
+    monkeypatch.setattr(co, "SLICE_BITS", 3)
+    monkeypatch.setattr(co, "BUCKET_BYTES", 2000)
+    got = found(co.collocations(build(session, rows), least=4, top=25, shard_words=300))
+    assert got == brute(rows, 5, 4, 25)
