@@ -5,7 +5,7 @@
 Settings name where every table is::
 
     {"tables": {
-        "employees":  {"kind": "published", "path": "s3a://…/employees"},
+        "employees":  {"kind": "published", "path": "hdfs://…/employees", "buckets": 64},
         "activities": {"kind": "catalog", "table": "lake.activities"},
         "hr_file":    {"kind": "csv", "path": "…"},
         "commute_distances": {"kind": "path", "path": "…", "format": "parquet"},
@@ -18,8 +18,9 @@ Settings name where every table is::
 
 What a kind allows besides reading: ``published`` and ``catalog`` (a table format with row-level updates)
 everything; ``path`` and ``jdbc`` appending; ``csv`` nothing. A job names the kinds it needs and
-refuses others before it reads anything. What a job returns is written whole to
-``results/<job>``.
+refuses others before it reads anything. A published table with ``buckets`` is laid out by its key when it
+is first loaded, so that later jobs rewrite the touched buckets only. What a job returns is written whole
+to ``results/<job>``.
 """
 
 from __future__ import annotations
@@ -129,7 +130,7 @@ class Context:
     def upsert(self, table: str, rows: DataFrame, keys: list[str], update: list[str] | None = None) -> None:
         place = self.needs(table, *UPDATABLE)
         if place["kind"] == "published":
-            load_or_merge_published(self.spark, place["path"], rows, keys, update)
+            load_or_merge_published(self.spark, place["path"], rows, keys, update, place.get("buckets"))
         else:
             merge_catalog(rows, place["table"], keys, update)
 

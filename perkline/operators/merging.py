@@ -2,8 +2,11 @@
 
 ``merged`` and ``without_keys`` say what the table looks like afterwards and are
 plain DataFrames. ``merge_published``/``delete_published`` apply them to a
-published table; ``merge_catalog``/``delete_catalog`` hand the same to a catalog
-table whose format has row-level updates and rewrites only the files it touches.
+published table, of which only the buckets that hold a key of the source are read and
+written where it is laid out by (some of) the keys; ``merge_catalog``/``delete_catalog`` hand
+the same to a catalog table whose format has row-level updates and rewrites only the
+files it touches. A version that another writer publishes meanwhile raises
+``CommitConflict``: the result was not computed from it.
 
 A source may be in use while it is read, so what is checked and merged is one
 stored copy of it.
@@ -11,14 +14,22 @@ stored copy of it.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkline.operators.checks import require_unique
 from perkline.session import shared_dir
-from perkline.sources.tables import publish, published_version, read_published
+from perkline.sources.tables import (
+    Layout,
+    Snapshot,
+    publish,
+    publish_buckets,
+    published_version,
+    require_published,
+    touched_buckets,
+)
 
 
 def merged(
@@ -81,6 +92,31 @@ def copied(source: DataFrame) -> DataFrame:
     return source.sparkSession.read.schema(source.schema).parquet(path)
 
 
+def _by_bucket(snapshot: Snapshot, keys: Sequence[str]) -> bool:
+    """Rows with equal keys lie in one bucket."""
+    return snapshot.layout is not None and set(snapshot.layout.keys) <= set(keys)
+
+
+def rewrite_published(
+    spark: SparkSession,
+    snapshot: Snapshot,
+    changes: DataFrame,
+    keys: Sequence[str],
+    after: Callable[[DataFrame], DataFrame],
+    check: Callable[[DataFrame], None] | None = None,
+) -> int:
+    """Publish ``after(rows)``, which may differ from ``rows`` only where a key of ``changes`` is.
+
+    ``rows`` are those of the buckets of these keys, or the whole table if its layout does not tell them.
+    """
+    if not _by_bucket(snapshot, keys):
+        return publish(after(snapshot.read(spark)), snapshot.path, check=check, after=snapshot.version)
+    # Types decide the hash, so the keys are asked in the types of the table.
+    asked = changes.select(*[F.col(k).cast(snapshot.schema[k].dataType).alias(k) for k in snapshot.layout.keys])
+    touched = touched_buckets(snapshot.layout, asked)
+    return publish_buckets(snapshot, after(snapshot.read(spark, buckets=touched)), touched, check=check)
+
+
 def merge_published(
     spark: SparkSession,
     path: str,
@@ -92,13 +128,20 @@ def merge_published(
 
     Refuses a source with a repeated key, a table that was never published, and a
     result with a repeated key. Repeating the call with the same source changes nothing.
+    A table that is laid out by key keeps its columns' types; a value that does not fit raises.
     """
-    target = read_published(spark, path)
+    snapshot = require_published(spark, path)
+    if _by_bucket(snapshot, keys):
+        types = {f.name: f.dataType for f in snapshot.schema.fields}
+        source = source.select(*[F.col(c).cast(types[c]).alias(c) if c in types else F.col(c) for c in source.columns])
     source = copied(source)
     require_unique(source, keys, "merge source")
-    return publish(
-        merged(target, source, keys, update),
-        path,
+    return rewrite_published(
+        spark,
+        snapshot,
+        source,
+        keys,
+        lambda rows: merged(rows, source, keys, update),
         check=lambda rows: require_unique(rows, keys, "merged table"),
     )
 
@@ -109,17 +152,22 @@ def load_or_merge_published(
     source: DataFrame,
     keys: Sequence[str],
     update: Sequence[str] | None = None,
+    buckets: int | None = None,
 ) -> int:
-    """The same, where the table may not exist yet: then the source is its first version."""
+    """The same, where the table may not exist yet: then the source is its first version, laid out
+    by the keys if a number of ``buckets`` is given."""
     if published_version(spark, path) is not None:
         return merge_published(spark, path, source, keys, update)
-    return publish(source, path, check=lambda rows: require_unique(rows, keys, "first load"))
+    layout = None if buckets is None else Layout(tuple(keys), buckets)
+    return publish(source, path, check=lambda rows: require_unique(rows, keys, "first load"), after=0, layout=layout)
 
 
 def delete_published(
     spark: SparkSession, path: str, doomed: DataFrame, keys: Sequence[str]
 ) -> int:
-    return publish(without_keys(read_published(spark, path), doomed, keys), path)
+    snapshot = require_published(spark, path)
+    doomed = copied(doomed.select(*keys).distinct())
+    return rewrite_published(spark, snapshot, doomed, keys, lambda rows: without_keys(rows, doomed, keys))
 
 
 def _matching(source: DataFrame, table: str, keys: Sequence[str]):

@@ -14,10 +14,10 @@ from pyspark.sql.types import DataType
 
 from perkline import fixed_values as fixed
 from perkline.functions.decoding import connect_decimal, micros_to_timestamp
-from perkline.operators.merging import change_catalog
+from perkline.operators.merging import change_catalog, rewrite_published
 from perkline.schemas import envelope
 from perkline.sources.streams import append_stream, each_batch
-from perkline.sources.tables import publish, read_published
+from perkline.sources.tables import Layout, publish, require_published
 
 POSITION = ("partition", "offset")
 ACTIVITY_COLUMNS = (
@@ -159,10 +159,11 @@ def apply_stream(
     """Keep a published table in step with a topic.
 
     A batch that is handed over twice gives the same table, so a restart neither
-    loses nor repeats a change. Every batch rewrites the published table, so that is
-    for moderate tables, with an ``interval``. For a large one name a ``catalog_table``
-    whose format has row-level updates, or append with :func:`ingest` and merge now
-    and then.
+    loses nor repeats a change. Every batch rewrites the buckets that it touches, or all
+    of a table without layout: give the table as many buckets as make one cheap to
+    rewrite (:func:`start_table`), and an ``interval``. A ``catalog_table`` whose format has row-level
+    updates takes the changes natively. If another writer publishes meanwhile, the
+    query ends with ``CommitConflict`` and the next start applies the batch to what is there then.
     """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
@@ -177,14 +178,20 @@ def apply_stream(
             if catalog_table is not None:
                 change_catalog(last, catalog_table, "activity_id", ACTIVITY_COLUMNS, fixed.OP_DELETE)
             else:
-                table = read_published(batch.sparkSession, path)
-                publish(applied_latest(table, last), path)
+                session = batch.sparkSession
+                snapshot = require_published(session, path)
+                rewrite_published(
+                    session, snapshot, last, ["activity_id"], lambda rows: applied_latest(rows, last)
+                )
         finally:
             last.unpersist()
 
     return each_batch(messages, on_batch, checkpoint, once, interval)
 
 
-def start_table(spark: SparkSession, path: str, like: DataFrame) -> int:
-    """Publish an empty first version with the columns of ``like``."""
-    return publish(like.filter(F.lit(False)), path)
+def start_table(
+    spark: SparkSession, path: str, like: DataFrame, buckets: int | None = None, key: str = "activity_id"
+) -> int:
+    """Publish an empty first version with the columns of ``like``, laid out by ``key`` in so many ``buckets``."""
+    layout = None if buckets is None else Layout((key,), buckets)
+    return publish(like.filter(F.lit(False)), path, layout=layout)

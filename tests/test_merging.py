@@ -212,3 +212,142 @@ def test_replacing_a_table_may_change_its_columns(spark, folder):
     one_more = spark.range(1).withColumn("more", F.lit("y"))
     tables.write_table(one_more, path, mode="append", partition_by=("more",))
     assert tables.read_table(spark, path).count() == 3
+
+
+# --- Layout by key ------------------------------------------------------------------
+
+
+def files_of(spark, path):
+    snapshot = tables.published_snapshot(spark, path)
+    return {b: sorted(f.name for f in Path(f"{path}/data/{folder}/_bucket={b}").glob("part-*")) for b, folder in snapshot.buckets.items()}
+
+
+def table_in_buckets(spark, path, n=400, count=16):
+    rows = spark.createDataFrame([(k, f"t{k}", k) for k in range(n)], SCHEMA)
+    tables.publish(rows, path, layout=tables.Layout(("k",), count))
+
+
+def test_an_upsert_rewrites_the_touched_buckets_only(spark, folder):
+    path = f"{folder}/t"
+    table_in_buckets(spark, path)
+    before = files_of(spark, path)
+    source = [(3, "s3", -3), (7, "s7", -7), (1000, "new", 0)]
+    frame = spark.createDataFrame(source, SCHEMA)
+    touched = tables.touched_buckets(tables.Layout(("k",), 16), frame)
+    assert merge_published(spark, path, frame, ["k"]) == 2
+    after = files_of(spark, path)
+    assert {b for b in after if after[b] != before.get(b)} == set(touched) and len(touched) <= 3
+    target = [(k, f"t{k}", k) for k in range(400)]
+    assert sorted(plain(tables.read_published(spark, path))) == model(target, source)
+    # A source of another integer type finds the same buckets.
+    wide = spark.createDataFrame([(5, "wide", 1)], "k long, a string, b int")
+    assert merge_published(spark, path, wide, ["k"]) == 3
+    assert dict(tables.read_published(spark, path).dtypes)["k"] == "int"
+    assert ("wide",) in [tuple(r) for r in tables.read_published(spark, path).where("k = 5").select("a").collect()]
+
+
+def test_upsert_of_some_columns_and_of_a_wider_key(spark, folder):
+    path = f"{folder}/t"
+    table_in_buckets(spark, path, 50)
+    source = [(1, "t1", -1), (2, "other", -2), (90, "t90", 9)]
+    merge_published(spark, path, spark.createDataFrame(source, SCHEMA), ["k", "a"], ["b"])
+    got = plain(tables.read_published(spark, path))
+    assert (1, "t1", -1) in got and (2, "t2", 2) in got and (2, "other", -2) in got and len(got) == 52
+
+
+def test_a_delete_empties_buckets(spark, folder):
+    path = f"{folder}/t"
+    table_in_buckets(spark, path, 40, 64)
+    before = files_of(spark, path)
+    doomed = spark.createDataFrame([(k,) for k in range(0, 40, 2)] + [(None,), (999,)], "k int")
+    delete_published(spark, path, doomed, ["k"])
+    after = files_of(spark, path)
+    assert sorted(r[0] for r in plain(tables.read_published(spark, path))) == list(range(1, 40, 2))
+    assert len(after) < len(before) and any(after[b] == before[b] for b in after)
+    delete_published(spark, path, spark.createDataFrame([(k,) for k in range(40)], "k int"), ["k"])
+    assert tables.read_published(spark, path).count() == 0
+    merge_published(spark, path, spark.createDataFrame([(5, "back", 5)], SCHEMA), ["k"])
+    assert plain(tables.read_published(spark, path)) == [(5, "back", 5)]
+
+
+def test_a_layout_stays_and_null_keys_are_rows(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(None, "n", 1), (1, "a", 1)], SCHEMA), path, layout=tables.Layout(("k",), 8))
+    delete_published(spark, path, spark.createDataFrame([(1,), (None,)], "k int"), ["k"])
+    assert plain(tables.read_published(spark, path)) == [(None, "n", 1)]
+    merging.load_or_merge_published(spark, f"{path}2", spark.createDataFrame([(1, "a", 1)], SCHEMA), ["k"], buckets=8)
+    merging.load_or_merge_published(spark, f"{path}2", spark.createDataFrame([(1, "b", 1), (2, "c", 1)], SCHEMA), ["k"])
+    assert plain(tables.read_published(spark, f"{path}2")) == [(1, "b", 1), (2, "c", 1)]
+    tables.publish(spark.createDataFrame([(4, "d", 4)], SCHEMA), path)
+    assert tables.published_snapshot(spark, path).layout == tables.Layout(("k",), 8)
+    # Keys that do not hold the layout's columns cannot tell the buckets: the whole table is rewritten.
+    merge_published(spark, path, spark.createDataFrame([(9, "d", 5)], SCHEMA), ["a"])
+    assert plain(tables.read_published(spark, path)) == [(9, "d", 5)]
+
+
+def test_a_repeated_key_in_a_bucket_is_not_published(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(1, "a", 1), (1, "b", 2)], SCHEMA), path, layout=tables.Layout(("k",), 1))
+    with pytest.raises(QualityError, match="merged table"):
+        merge_published(spark, path, spark.createDataFrame([(2, "c", 3)], SCHEMA), ["k"])
+    assert tables.published_version(spark, path) == 1
+
+
+@pytest.mark.parametrize("count", [None, 4])
+@pytest.mark.parametrize("change", ["merge", "delete"])
+def test_a_writer_in_between_is_not_lost(spark, folder, count, change):
+    path = f"{folder}/t"
+    layout = None if count is None else tables.Layout(("k",), count)
+    tables.publish(spark.createDataFrame([(1, "a", 1), (2, "b", 2)], SCHEMA), path, layout=layout)
+    copy = merging.copied
+
+    def copy_slowly(source):
+        found = copy(source)
+        other = tables.read_published(spark, path).union(spark.createDataFrame([(9, "other", 9)], SCHEMA))
+        tables.publish(other, path)
+        return found
+
+    merging.copied = copy_slowly
+    try:
+        with pytest.raises(tables.CommitConflict):
+            if change == "merge":
+                merge_published(spark, path, spark.createDataFrame([(2, "B", 20)], SCHEMA), ["k"])
+            else:
+                delete_published(spark, path, spark.createDataFrame([(2,)], "k int"), ["k"])
+    finally:
+        merging.copied = copy
+    assert plain(tables.read_published(spark, path)) == [(1, "a", 1), (2, "b", 2), (9, "other", 9)]
+    with pytest.raises(tables.CommitConflict):
+        tables.publish(spark.createDataFrame([(3, "c", 3)], SCHEMA), path, after=1)
+
+
+def test_columns_may_be_added_widened_and_dropped(spark, folder):
+    path = f"{folder}/t"
+    tables.publish(spark.createDataFrame([(1, "a", 1)], SCHEMA), path)
+    later = spark.createDataFrame([(2, 5_000_000_000, "x")], "k int, b long, note string")
+    tables.publish(later, path)
+    now = tables.published_snapshot(spark, path).schema
+    old = tables.read_published(spark, path, version=1, schema=now)
+    assert old.schema.simpleString() == later.schema.simpleString()
+    assert [tuple(r) for r in old.collect()] == [(1, 1, None)]
+    assert sorted(tables.schema_changes(spark.createDataFrame([], SCHEMA).schema, later.schema)) == [
+        ("a", "dropped", "string", None),
+        ("b", "widened", "int", "bigint"),
+        ("note", "added", None, "string"),
+    ]
+    with pytest.raises(tables.SchemaConflict):
+        tables.publish(spark.createDataFrame([("two", 1, "x")], "k string, b long, note string"), path)
+    assert tables.published_version(spark, path) == 2
+    tables.publish(spark.createDataFrame([("two",)], "k string"), path, replace_schema=True)
+    with pytest.raises(tables.SchemaConflict):
+        tables.read_published(spark, path, schema=now)
+
+
+def test_what_widens():
+    from pyspark.sql.types import ByteType, DecimalType, DoubleType, FloatType, IntegerType, LongType, StringType
+
+    good = [(IntegerType(), LongType()), (FloatType(), DoubleType()), (IntegerType(), DecimalType(12, 2)), (ByteType(), DoubleType())]
+    good += [(DecimalType(10, 2), DecimalType(12, 3)), (StringType(), StringType())]
+    bad = [(LongType(), IntegerType()), (LongType(), DoubleType()), (DecimalType(10, 2), DecimalType(10, 3)), (FloatType(), DecimalType(38, 2))]
+    bad += [(StringType(), IntegerType()), (LongType(), DecimalType(12, 2))]
+    assert all(tables.widens(*pair) for pair in good) and not any(tables.widens(*pair) for pair in bad)

@@ -23,7 +23,7 @@ from perkline.operators.rules import commute_rules
 from perkline.plans import commute, monitoring
 from perkline.session import shared_dir
 from perkline.sources.streams import read_stream
-from perkline.sources.tables import publish, read_published, read_table
+from perkline.sources.tables import Layout, publish, published_snapshot, read_published, read_table
 from perkline.streaming import changes as cdc
 from perkline.streaming.notifications import notifications, notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
@@ -98,6 +98,42 @@ def _(spark, sf_dir):
     return read_published(spark, path)
 
 
+@query("bucketed_upsert", (), _ORDERS + "SELECT * FROM merged")
+def _(spark, sf_dir):
+    # On a table laid out by key: only the buckets of the delivery are rewritten, twice.
+    target, source = _orders(spark, sf_dir)
+    path = shared_dir(spark, "orders")
+    publish(target, path, layout=Layout(("o_orderkey",), 16))
+    merge_published(spark, path, source, ["o_orderkey"])
+    merge_published(spark, path, source, ["o_orderkey"])
+    return read_published(spark, path)
+
+
+@query(
+    "schema_change",
+    (),
+    """
+SELECT 1 AS version, o_orderkey, CAST(o_custkey AS DECIMAL(20,0)) AS o_custkey, o_totalprice, NULL AS note FROM orders WHERE o_orderstatus = 'F'
+UNION ALL SELECT 2, o_orderkey, CAST(o_custkey AS DECIMAL(20,0)), o_totalprice, o_orderpriority FROM orders WHERE o_orderstatus <> 'F'""",
+)
+def _(spark, sf_dir):
+    # A column is widened, one dropped and one added; readers see the first version in today's columns.
+    orders = roles.table(spark, sf_dir, "orders")
+    path = shared_dir(spark, "orders")
+    first = orders.filter("o_orderstatus = 'F'")
+    publish(first.select("o_orderkey", "o_custkey", F.col("o_totalprice").cast("float").alias("price"), "o_totalprice"), path)
+    second = orders.filter("o_orderstatus <> 'F'").select(
+        "o_orderkey",
+        F.col("o_custkey").cast("decimal(20,0)").alias("o_custkey"),
+        "o_totalprice",
+        F.col("o_orderpriority").alias("note"),
+    )
+    publish(second, path)
+    now = published_snapshot(spark, path)
+    old = read_published(spark, path, version=1, schema=now.schema).withColumn("version", F.lit(1))
+    return old.unionByName(now.read(spark).withColumn("version", F.lit(2)))
+
+
 @query(
     "merge_check",
     (),
@@ -180,6 +216,19 @@ def _(spark, sf_dir):
     return without_keys(orders, doomed.select(F.col("c_custkey").alias("o_custkey")), ["o_custkey"])
 
 
+@query(
+    "bucketed_delete",
+    (),
+    "SELECT * FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'R' AND l_quantity >= 45)",
+)
+def _(spark, sf_dir):
+    lines = roles.table(spark, sf_dir, "lineitem").filter("l_returnflag = 'R' AND l_quantity >= 45")
+    path = shared_dir(spark, "orders")
+    publish(roles.table(spark, sf_dir, "orders"), path, layout=Layout(("o_orderkey",), 32))
+    delete_published(spark, path, lines.select(F.col("l_orderkey").alias("o_orderkey")), ["o_orderkey"])
+    return read_published(spark, path)
+
+
 @query(
     "deleted_rows",
     (),
@@ -406,7 +455,7 @@ FROM changes WHERE NOT broken AND operation <> 'd'""",
 def _(spark, sf_dir):
     # The table holds every activity; the topic then updates, re-creates or deletes them.
     path = shared_dir(spark, "applied")
-    publish(roles.activities(spark, sf_dir), path)
+    publish(roles.activities(spark, sf_dir), path, layout=Layout(("activity_id",), 8))
     cdc.apply_stream(
         roles.envelopes(_event_stream(spark, sf_dir)),
         path,
