@@ -54,7 +54,7 @@ from perkline.sources.jdbc import Database, Split, append_database, read_databas
 from perkline.sources.streams import read_stream, read_topic
 from perkline.sources.tables import publish, read_published, read_table, write_table
 from perkline.streaming import changes
-from perkline.streaming.notifications import notify_stream
+from perkline.streaming.notifications import notify_late, notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
 
 
@@ -392,6 +392,18 @@ def notify(run: Context) -> None:
     ).awaitTermination()
 
 
+@job("notify-late")
+def notify_late_people(run: Context) -> DataFrame:
+    """Messages for activities in ``unknown_people`` whose people are known by now; reports their number."""
+    found = notify_late(
+        run.spark,
+        run.read("employees"),
+        run.needs("notifications", "path")["path"],
+        run.needs("unknown_people", "path")["path"],
+    )
+    return run.spark.createDataFrame([(found,)], "messages long")
+
+
 @job("watch")
 def watch(run: Context) -> None:
     """Rebuild and export after every change of the published activities."""

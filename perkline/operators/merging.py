@@ -104,17 +104,18 @@ def rewrite_published(
     keys: Sequence[str],
     after: Callable[[DataFrame], DataFrame],
     check: Callable[[DataFrame], None] | None = None,
+    notes: dict[str, object] | None = None,
 ) -> int:
     """Publish ``after(rows)``, which may differ from ``rows`` only where a key of ``changes`` is.
 
     ``rows`` are those of the buckets of these keys, or the whole table if its layout does not tell them.
     """
     if not _by_bucket(snapshot, keys):
-        return publish(after(snapshot.read(spark)), snapshot.path, check=check, after=snapshot.version)
+        return publish(after(snapshot.read(spark)), snapshot.path, check=check, after=snapshot.version, notes=notes)
     # Types decide the hash, so the keys are asked in the types of the table.
     asked = changes.select(*[F.col(k).cast(snapshot.schema[k].dataType).alias(k) for k in snapshot.layout.keys])
     touched = touched_buckets(snapshot.layout, asked)
-    return publish_buckets(snapshot, after(snapshot.read(spark, buckets=touched)), touched, check=check)
+    return publish_buckets(snapshot, after(snapshot.read(spark, buckets=touched)), touched, check=check, notes=notes)
 
 
 def merge_published(

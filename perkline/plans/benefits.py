@@ -86,10 +86,21 @@ def employee_benefits(
     second join reuses the placement of the first. Employees without a commute
     or without activities stay, with FALSE and 0.
     """
+    return benefits_of(employees, commute, activity_summary(activities, as_of), as_of, rate, min_activities, days)
+
+
+def benefits_of(
+    employees: DataFrame,
+    commute: DataFrame,
+    summary: DataFrame,
+    as_of: dt.date | dt.datetime,
+    rate: str = fixed.BONUS_RATE,
+    min_activities: int = fixed.MIN_ACTIVITIES,
+    days: int = fixed.WELLBEING_DAYS,
+) -> DataFrame:
+    """The same from activities that are already one row per employee."""
     checked = commute.select("employee_id", "distance_km", "is_sport_commute", "is_valid")
-    joined = employees.join(checked, "employee_id", "left").join(
-        activity_summary(activities, as_of), "employee_id", "left"
-    )
+    joined = employees.join(checked, "employee_id", "left").join(summary, "employee_id", "left")
     facts = joined.select(
         "employee_id",
         "first_name",

@@ -59,7 +59,7 @@ class CommitConflict(RuntimeError):
     """Another writer published the version first. Nothing was changed; the job may be repeated."""
 
 
-def _files(spark: SparkSession, path: str):
+def file_system(spark: SparkSession, path: str):
     """The cluster's own file system interface for ``path``, and its path type."""
     new_path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
     return new_path(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), new_path
@@ -86,6 +86,7 @@ class Snapshot:
     schema: StructType | None = None
     layout: Layout | None = None
     buckets: dict[int, str] = field(default_factory=dict)
+    notes: dict[str, object] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, fmt: str = "parquet", buckets: Iterable[int] | None = None) -> DataFrame:
         """The rows, or those of some buckets. No other files are opened."""
@@ -103,7 +104,7 @@ BUCKET = "_bucket"
 
 def _records(spark: SparkSession, path: str) -> list[tuple[int, object]]:
     """Versions and the paths of their records, from file names alone."""
-    fs, new_path = _files(spark, path)
+    fs, new_path = file_system(spark, path)
     found = fs.globStatus(new_path(f"{commits_path(path)}/[0-9]*.json")) or []
     return sorted(((int(r.getPath().getName().partition(".")[0]), r.getPath()) for r in found), key=lambda r: r[0])
 
@@ -113,7 +114,7 @@ def published_snapshot(spark: SparkSession, path: str, version: int | None = Non
     records = [r for r in _records(spark, path) if version is None or r[0] == version]
     if not records:
         return None
-    fs, _ = _files(spark, path)
+    fs, _ = file_system(spark, path)
     stream = fs.open(records[-1][1])
     try:
         record = json.loads(spark.sparkContext._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8"))
@@ -127,12 +128,13 @@ def published_snapshot(spark: SparkSession, path: str, version: int | None = Non
         None if schema is None else StructType.fromJson(schema),
         None if layout is None else Layout(tuple(layout["keys"]), layout["count"]),
         {int(b): f for f, numbers in record.get("buckets", {}).items() for b in numbers},
+        record.get("notes", {}),
     )
 
 
 def _commit(spark: SparkSession, path: str, version: int, folder: str, **more: object) -> None:
     """Make the record appear whole, unless the version has one."""
-    fs, new_path = _files(spark, path)
+    fs, new_path = file_system(spark, path)
     commits = commits_path(path)
     fs.mkdirs(new_path(commits))
     name = f"{version:012d}.json"
@@ -249,13 +251,15 @@ def publish(
     after: int | None = None,
     layout: Layout | None = None,
     replace_schema: bool = False,
+    notes: dict[str, object] | None = None,
 ) -> int:
     """Replace the whole table by ``df``, which may be computed from the table itself.
 
     ``check`` looks at the written rows and raises to keep them from being published. ``after`` is the
     version ``df`` was computed from (0: none): if another one has appeared since,
     :class:`CommitConflict` is raised. A table with a layout keeps it unless another is given. Columns may be added,
-    widened and dropped; any other change of a type is refused unless ``replace_schema`` is set.
+    widened and dropped; any other change of a type is refused unless ``replace_schema`` is set. ``notes`` are
+    kept in the record, such as the versions that ``df`` was made from.
     """
     spark = df.sparkSession
     old = published_snapshot(spark, path)
@@ -274,12 +278,12 @@ def publish(
         write_table(df, f"{path}/data/{folder}", "errorifexists", fmt, partition_by)
         if check is not None:
             check(spark.read.format(fmt).load(f"{path}/data/{folder}"))
-        _commit(spark, path, version, folder, schema=df.schema.jsonValue())
+        _commit(spark, path, version, folder, schema=df.schema.jsonValue(), notes=notes or {})
         return version
     if partition_by:
         raise ValueError("a table is laid out by key or partitioned by columns, not both")
     empty = Snapshot(path, after, folder, df.schema, layout)
-    return _publish_buckets(empty, df, range(layout.count), folder, fmt, check)
+    return _publish_buckets(empty, df, range(layout.count), folder, fmt, check, notes)
 
 
 def publish_buckets(
@@ -288,6 +292,7 @@ def publish_buckets(
     touched: Sequence[int],
     fmt: str = "parquet",
     check: Callable[[DataFrame], None] | None = None,
+    notes: dict[str, object] | None = None,
 ) -> int:
     """Replace the rows of some buckets of a version by ``df``, which has all rows they will have.
 
@@ -295,7 +300,7 @@ def publish_buckets(
     """
     _require_newest(snapshot.path, published_snapshot(df.sparkSession, snapshot.path), snapshot.version)
     folder = f"{snapshot.version + 1:08d}-{uuid.uuid4().hex}"
-    return _publish_buckets(snapshot, conformed(df, snapshot.schema), touched, folder, fmt, check)
+    return _publish_buckets(snapshot, conformed(df, snapshot.schema), touched, folder, fmt, check, notes)
 
 
 def _require_newest(path: str, newest: Snapshot | None, version: int) -> None:
@@ -312,13 +317,14 @@ def _publish_buckets(
     folder: str,
     fmt: str,
     check: Callable[[DataFrame], None] | None,
+    notes: dict[str, object] | None,
 ) -> int:
     spark, path = df.sparkSession, old.path
     touched = set(touched)
     # Rows of a bucket meet in few tasks, so that a bucket is few files; the planner splits a large one.
     placed = df.withColumn(BUCKET, old.layout.bucket()).hint("rebalance", BUCKET)
     write_table(placed, f"{path}/data/{folder}", "errorifexists", fmt, (BUCKET,))
-    fs, new_path = _files(spark, path)
+    fs, new_path = file_system(spark, path)
     found = fs.globStatus(new_path(f"{path}/data/{folder}/{BUCKET}=*")) or []
     written = {int(d.getPath().getName().partition("=")[2]) for d in found}
     if not written <= touched:
@@ -331,10 +337,29 @@ def _publish_buckets(
     for bucket, place in sorted(buckets.items()):
         named.setdefault(place, []).append(bucket)
     layout = {"keys": list(old.layout.keys), "count": old.layout.count}
-    _commit(spark, path, new.version, folder, schema=old.schema.jsonValue(), layout=layout, buckets=named)
+    schema = old.schema.jsonValue()
+    _commit(spark, path, new.version, folder, schema=schema, layout=layout, buckets=named, notes=notes or {})
     return new.version
 
 
+def changed_rows(spark: SparkSession, old: Snapshot | None, new: Snapshot) -> DataFrame:
+    """What differs between two versions: the table's rows with ``_times``, how often a row came (above 0) or went (below).
+
+    Buckets that both versions have from the same folder are not read.
+    """
+    if old is None:
+        return new.read(spark).withColumn("_times", F.lit(1).cast("long"))
+    wanted = None
+    if old.layout is not None and old.layout == new.layout:
+        wanted = [b for b in {*old.buckets, *new.buckets} if old.buckets.get(b) != new.buckets.get(b)]
+    elif old.layout is None and new.layout is None and old.folder == new.folder:
+        return new.read(spark).withColumn("_times", F.lit(1).cast("long")).filter(F.lit(False))
+    came = new.read(spark, buckets=wanted if new.layout is not None else None)
+    went = conformed(old.read(spark, buckets=wanted if old.layout is not None else None), came.schema)
+    both = came.withColumn("_times", F.lit(1)).unionByName(went.withColumn("_times", F.lit(-1)))
+    return both.groupBy(*came.columns).agg(F.sum("_times").alias("_times")).filter("_times != 0")
+
+
 def touched_buckets(layout: Layout, keys: DataFrame) -> list[int]:
     """The buckets of some rows: at most ``layout.count`` numbers."""
     return sorted(r[0] for r in keys.select(layout.bucket().alias("b")).distinct().collect())

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from perkline import schemas
 from perkline.sources import streams, tables
 from perkline.streaming import changes
-from perkline.streaming.notifications import notifications, notify_stream
+from perkline.streaming.notifications import notifications, notify_late, notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
 
 MESSAGES = "value binary, partition int, offset long"
@@ -204,6 +204,47 @@ def test_people_published_between_batches_are_found(spark, folder):
     assert len([n for n in notes(out) if n[0] == 1]) == 1
 
 
+def test_one_message_per_activity_whatever_the_topic_repeats(spark, folder):
+    source, out, unknown = (f"{folder}/{n}" for n in ("topic", "notes", "unknown"))
+    staff = spark.createDataFrame([(7, "Ana", "Roux")], "employee_id int, first_name string, last_name string")
+
+    def run(progress="progress"):
+        query = notify_stream(topic(spark, source), lambda s: staff, out, unknown, f"{folder}/{progress}", once=True)
+        query.awaitTermination()
+
+    def notes(path=out):
+        return sorted(r["activity_id"] for r in spark.read.parquet(path).collect())
+
+    one, two, lost = envelope("c", after(1)), envelope("c", after(2)), envelope("c", after(9, employee_id=99))
+    feed(messages(spark, one, one, lost), source)
+    run()
+    feed(messages(spark, two, one, lost, start=10), source)
+    run()  # after a restart
+    feed(messages(spark, two, start=20), source)
+    run()
+    assert notes() == [1, 2] and notes(unknown) == [9]
+    # A lost checkpoint: the new query reads everything again, loses nothing and repeats nothing.
+    feed(messages(spark, envelope("c", after(3)), start=30), source)
+    run("other-progress")
+    assert notes() == [1, 2, 3] and notes(unknown) == [9]
+
+
+def test_late_people_get_their_messages(spark, folder):
+    source, out, unknown = (f"{folder}/{n}" for n in ("topic", "notes", "unknown"))
+    names = "employee_id int, first_name string, last_name string"
+    first, then = [(7, "Ana", "Roux")], [(7, "Ana", "Roux"), (8, "Bo", "Lin")]
+    assert notify_late(spark, spark.createDataFrame(then, names), out, unknown) == 0
+    feed(messages(spark, envelope("c", after(1)), envelope("c", after(2, employee_id=8, comment="Enfin")), envelope("c", after(3, employee_id=9))), source)
+    staff = spark.createDataFrame(first, names)
+    notify_stream(topic(spark, source), lambda s: staff, out, unknown, f"{folder}/progress", once=True).awaitTermination()
+    staff = spark.createDataFrame(then, names)
+    assert notify_late(spark, staff, out, unknown) == 1
+    assert notify_late(spark, staff, out, unknown) == 0
+    found = {r["activity_id"]: r["message"] for r in spark.read.parquet(out).collect()}
+    assert sorted(found) == [1, 2]
+    assert found[2] == "Bravo Bo Lin ! Tu viens de terminer une activité Running de 6.00 km en 46 min ! 🔥🏅\n💬 Enfin"
+
+
 def test_failed_recomputation_is_tried_again(spark, folder):
     path, progress = f"{folder}/table", f"{folder}/progress"
     tables.publish(spark.range(1), path)

@@ -19,13 +19,14 @@ from perkline.operators.merging import (
     without_keys,
 )
 from perkline.operators.profiling import rows_left
+from perkline.operators.reconciling import bucket_digests, differing_buckets, key_differences
 from perkline.operators.rules import commute_rules
-from perkline.plans import commute, monitoring
+from perkline.plans import commute, incremental, monitoring
 from perkline.session import shared_dir
 from perkline.sources.streams import read_stream
 from perkline.sources.tables import Layout, publish, published_snapshot, read_published, read_table
 from perkline.streaming import changes as cdc
-from perkline.streaming.notifications import notifications, notify_stream
+from perkline.streaming.notifications import notifications, notify_late, notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
 from workload import business, roles
 from workload.registry import query
@@ -439,7 +440,43 @@ def _(spark, sf_dir):
         once=True,
         id_type=LONG,
     ).awaitTermination()
-    return read_table(spark, path).drop("batch_id")
+    return read_table(spark, path).drop("query", "batch_id")
+
+
+@query("stream_notifications_once", ("changes", "employees"), _MESSAGES)
+def _(spark, sf_dir):
+    # The topic delivers every creation twice, and is read again from its start by a second query.
+    path = shared_dir(spark, "notified")
+    for _ in range(2):
+        twice = roles.envelopes(_event_stream(spark, sf_dir)).union(roles.envelopes(_event_stream(spark, sf_dir)))
+        notify_stream(
+            twice,
+            lambda session: roles.employees(session, sf_dir),
+            path,
+            f"{path}-unknown",
+            shared_dir(spark, "notify-progress"),
+            once=True,
+            id_type=LONG,
+        ).awaitTermination()
+    return read_table(spark, path).drop("query", "batch_id")
+
+
+@query("late_notifications", ("changes", "employees"), _MESSAGES)
+def _(spark, sf_dir):
+    # Part of the people are published only after their activities arrived; they get their messages then.
+    path = shared_dir(spark, "notified")
+    notify_stream(
+        roles.envelopes(_event_stream(spark, sf_dir)),
+        lambda session: roles.employees(session, sf_dir).filter("gross_salary > 4000"),
+        path,
+        f"{path}-unknown",
+        shared_dir(spark, "notify-progress"),
+        once=True,
+        id_type=LONG,
+    ).awaitTermination()
+    for _ in range(2):
+        notify_late(spark, roles.employees(spark, sf_dir), path, f"{path}-unknown")
+    return read_table(spark, path).drop("query", "batch_id")
 
 
 @query(
@@ -499,9 +536,81 @@ def _(spark, sf_dir):
     return read_published(spark, results)
 
 
+@query("benefits_incremental", BENEFITS, "SELECT * FROM benefits")
+def _(spark, sf_dir):
+    # From an earlier state of all inputs and an earlier day to the present one, by what differs.
+    at = {name: shared_dir(spark, name) for name in ("employees", "commute", "activities", "days", "results")}
+    staff, rules = roles.employees(spark, sf_dir), commute_rules(spark, roles.RULES)
+    checked = commute.validated(roles.commute_requests(spark, sf_dir), rules)
+    acts = roles.activities(spark, sf_dir)
+    day = F.lit("2024-01-25").cast("timestamp_ntz")
+    before = acts.filter(F.col("start_datetime") < day).withColumns(
+        {
+            "distance_meters": F.when(F.col("sport_type") == "click", F.col("distance_meters") + 1)
+            .otherwise(F.col("distance_meters"))
+            .cast("decimal(10,2)"),
+        }
+    )
+    gone = before.filter("sport_type = 'signup'").withColumn("activity_id", -F.col("activity_id"))
+    lower = F.when(F.col("business_unit").isNull(), F.lit(0)).otherwise(F.col("gross_salary") - 1)
+    versions = {
+        "employees": (staff.withColumn("gross_salary", lower.cast("decimal(10,2)")), staff, "employee_id"),
+        "commute": (checked.filter("distance_km < 10"), checked, "employee_id"),
+        "activities": (before.unionByName(gone), acts, "activity_id"),
+    }
+    update = lambda as_of: incremental.update_benefits(spark, *at.values(), as_of, buckets=16)
+    for name, (first, _, key) in versions.items():
+        publish(first, at[name], layout=Layout((key,), 16))
+    update(dt.date(2025, 1, 10))
+    for name, (_, now, key) in versions.items():
+        merge_published(spark, at[name], now, [key])
+    delete_published(spark, at["activities"], gone, ["activity_id"])
+    update(roles.AS_OF)
+    return incremental.read_benefits(spark, at["results"])
+
+
 # --- Agreement and monitoring ---------------------------------------------------------------
 
 
+@query(
+    "reconcile_keys",
+    ("changes", "created", "activities"),
+    """
+, target AS (SELECT * FROM created UNION ALL SELECT * REPLACE (-activity_id AS activity_id) FROM created WHERE sport_type = 'purchase'
+             UNION ALL SELECT * FROM created WHERE distance_meters < 300)
+, pairs AS (
+  SELECT coalesce(s.activity_id, t.activity_id) AS activity_id, coalesce(s.n, 0) AS source_rows, coalesce(t.n, 0) AS target_rows,
+         s.own IS NOT DISTINCT FROM t.own AS same
+  FROM (SELECT activity_id, count(*) AS n, list_sort(list(activities)) AS own FROM activities GROUP BY activity_id) s
+  FULL JOIN (SELECT activity_id, count(*) AS n, list_sort(list(target)) AS own FROM target GROUP BY activity_id) t ON s.activity_id = t.activity_id)
+SELECT activity_id, CASE WHEN target_rows = 0 THEN 'missing' WHEN source_rows = 0 THEN 'extra' ELSE 'changed' END AS difference, source_rows, target_rows
+FROM pairs WHERE NOT same""",
+)
+def _(spark, sf_dir):
+    # What arrived lacks some activities and fields, has some twice, and some that the source never had.
+    created = cdc.created_activities(roles.messages(spark, sf_dir), id_type=LONG)
+    invented = created.filter("sport_type = 'purchase'").withColumn("activity_id", -F.col("activity_id"))
+    target = created.unionByName(invented).unionByName(created.filter("distance_meters < 300"))
+    return key_differences(roles.activities(spark, sf_dir), target, ["activity_id"])
+
+
+@query(
+    "reconcile_buckets",
+    ("changes", "created", "activities"),
+    """
+, kinds AS (SELECT DISTINCT sport_type FROM activities)
+SELECT sport_type, (SELECT count(*) FROM activities a WHERE a.sport_type = k.sport_type) AS source_rows,
+       (SELECT count(*) FROM created c WHERE c.sport_type = k.sport_type) AS target_rows
+FROM kinds k""",
+)
+def _(spark, sf_dir):
+    # Digests are sums, so those of small buckets add up to those of large ones: here by kind of sport.
+    sides = roles.activities(spark, sf_dir), cdc.created_activities(roles.messages(spark, sf_dir), id_type=LONG)
+    source, target = (bucket_digests(side, ["activity_id"], side.columns, by=["sport_type"]) for side in sides)
+    found = differing_buckets(source, target, ["sport_type"])
+    return found.groupBy("sport_type").agg(F.sum("source_rows").alias("source_rows"), F.sum("target_rows").alias("target_rows"))
+
+
 @query(
     "reconcile_volumes",
     ("changes", "created", "activities"),
