@@ -36,7 +36,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkline import fixed_values as fixed
-from perkline.operators.checks import QualityError, all_checks, enforce, verdict
+from perkline.operators.checks import QualityError, all_checks, enforce, require_unique, verdict
 from perkline.operators.comparing import against_expected, expected_metrics, metric_rows, volumes
 from perkline.operators.merging import (
     delete_catalog,
@@ -46,13 +46,14 @@ from perkline.operators.merging import (
     with_keys,
 )
 from perkline.operators.profiling import counts_by_month, frequencies, largest, rows_left
+from perkline.operators.reconciling import key_differences
 from perkline.operators.rules import commute_rules, known_sports, uncovered
-from perkline.plans import benefits, commute, monitoring, people, quality, reporting
+from perkline.plans import benefits, commute, incremental, monitoring, people, quality, reporting
 from perkline.session import build_session
-from perkline.sources.files import read_delimited, write_report
+from perkline.sources.files import read_delimited, read_delimited_leniently, write_report
 from perkline.sources.jdbc import Database, Split, append_database, read_database
 from perkline.sources.streams import read_stream, read_topic
-from perkline.sources.tables import publish, read_published, read_table, write_table
+from perkline.sources.tables import publish, published_snapshot, read_published, read_table, write_table
 from perkline.streaming import changes
 from perkline.streaming.notifications import notify_late, notify_stream
 from perkline.streaming.recompute import recompute_on_change, version_stream
@@ -111,10 +112,11 @@ class Context:
             self.spark, place["path"], place.get("format", "parquet"), **place.get("options", {})
         )
 
-    def replace(self, table: str, rows: DataFrame) -> None:
+    def replace(self, table: str, rows: DataFrame, **options) -> None:
+        """``options`` are those of a published table."""
         place = self.needs(table, *UPDATABLE)
         if place["kind"] == "published":
-            publish(rows, place["path"])
+            publish(rows, place["path"], **options)
         else:
             rows.writeTo(place["table"]).overwrite(F.lit(True))
 
@@ -182,12 +184,22 @@ def audit_files(run: Context) -> DataFrame:
 
 @job("ingest-people")
 def ingest_people(run: Context) -> DataFrame:
+    """With the setting ``set_bad_records_aside`` records that do not fit become results of their own, and the others are
+    loaded; without, one of them ends the job."""
     run.needs("employees", *UPDATABLE)
     run.needs("sport_profile", *UPDATABLE)
-    staff = people.employees_from_file(run.read("hr_file"))
-    run.upsert("employees", staff, ["employee_id"])
-    profile = people.profile_from_file(run.read("sport_file"))
-    run.upsert("sport_profile", profile, ["employee_id"])
+    files = (
+        ("hr_file", "employees", people.employees_from_file, people.employees_or_set_aside),
+        ("sport_file", "sport_profile", people.profile_from_file, people.profile_or_set_aside),
+    )
+    for file, table, from_file, or_set_aside in files:
+        if run.settings.get("set_bad_records_aside", False):
+            lenient = read_delimited_leniently(run.spark, run.needs(file, "csv")["path"])
+            rows, bad = or_set_aside(lenient)
+            run.keep(f"{table}-set-aside", bad.withColumn("reasons", F.array_join("reasons", "; ")))
+        else:
+            rows = from_file(run.read(file))
+        run.upsert(table, rows, ["employee_id"])
     return all_checks(
         quality.contract_violations("employees", {"employees": run.read("employees")}),
         quality.contract_violations(
@@ -299,22 +311,51 @@ def check_wellbeing(run: Context) -> DataFrame:
 
 @job("build-benefits")
 def build_benefits(run: Context) -> DataFrame:
-    """Compute and store; the report compares the stored table with the expected figures, if given."""
-    run.needs("employee_benefits", *UPDATABLE)
+    """Compute and store; the report compares the stored rows' figures with the expected ones, if given."""
+    place = run.needs("employee_benefits", *UPDATABLE)
     computed = benefits.employee_benefits(
         run.read("employees"), run.read("commute_validation"), run.read("activities"), run.as_of
     )
-    run.keep("benefits-before-writing", metric_rows(benefits.benefits_totals(computed)))
-    run.replace("employee_benefits", computed)
-    actual = metric_rows(benefits.benefits_totals(run.read("employee_benefits")))
+    if place["kind"] == "published":
+        # The figures are taken while the rows are written, and the written keys are checked before they are published.
+        unique = lambda rows: require_unique(rows, ["employee_id"], "benefits")
+        run.replace("employee_benefits", computed, counters=benefits.benefits_counters(), check=unique)
+        figures = published_snapshot(run.spark, place["path"]).notes["counters"]
+        figures |= {"distinct_employees": figures["row_count"], "duplicates": 0}
+        actual = expected_metrics(run.spark, figures)
+    else:
+        run.replace("employee_benefits", computed)
+        actual = metric_rows(benefits.benefits_totals(run.read("employee_benefits")))
+    return _judged(run, actual)
+
+
+def _judged(run: Context, actual: DataFrame) -> DataFrame:
     expected = run.settings.get("expected")
     return actual if expected is None else against_expected(actual, expected_metrics(run.spark, expected))
 
 
+@job("update-benefits")
+def update_benefits(run: Context) -> DataFrame:
+    """Benefits by what changed since the last update: all inputs are published tables, ``benefit_days``
+    holds the partial sums, and ``maintained_benefits`` the results."""
+    names = ("employees", "commute_validation", "activities", "benefit_days", "maintained_benefits")
+    paths = [run.needs(name, "published")["path"] for name in names]
+    incremental.update_benefits(run.spark, *paths, run.as_of)
+    return _judged(run, metric_rows(benefits.benefits_totals(incremental.read_benefits(run.spark, paths[-1]))))
+
+
+@job("reconcile")
+def reconcile(run: Context) -> DataFrame:
+    """Every activity that is missing, extra or changed in ``activities`` against the source."""
+    source = run.read("source_activities")
+    return key_differences(source, run.read("activities").select(*source.columns), ["activity_id"])
+
+
 @job("export-reports")
 def export_reports(run: Context) -> None:
+    maintained = run.settings["tables"].get("maintained_benefits")
     reporting.export_reports(
-        run.read("employee_benefits"),
+        run.read("employee_benefits") if maintained is None else incremental.read_benefits(run.spark, maintained["path"]),
         run.read("activities"),
         run.path("reports"),
         run.settings.get("expected", {}).get("row_count"),
@@ -363,20 +404,27 @@ def monitor(run: Context) -> DataFrame:
 def ingest_changes(run: Context) -> None:
     place = run.needs("activities", "published", "catalog", "path")
     once, interval = run.settings.get("once", False), run.settings.get("apply_interval", "10 minutes")
+    queries = []
+    if "dead_letters" in run.settings["tables"]:
+        aside = run.needs("dead_letters", "path")
+        letters, fmt = run.checkpoint("dead-letters"), aside.get("format", "parquet")
+        queries.append(changes.set_aside(run.messages(), aside["path"], letters, fmt, once))
     if place["kind"] == "path":
-        query = changes.ingest(
-            run.messages(), place["path"], run.checkpoint("ingest"), place.get("format", "parquet"), once
-        )
+        fmt = place.get("format", "parquet")
+        queries.append(changes.ingest(run.messages(), place["path"], run.checkpoint("ingest"), fmt, once))
     else:
-        query = changes.apply_stream(
-            run.messages(),
-            place.get("path", ""),
-            run.checkpoint("ingest"),
-            catalog_table=place.get("table"),
-            once=once,
-            interval=interval,
+        queries.append(
+            changes.apply_stream(
+                run.messages(),
+                place.get("path", ""),
+                run.checkpoint("ingest"),
+                catalog_table=place.get("table"),
+                once=once,
+                interval=interval,
+            )
         )
-    query.awaitTermination()
+    for running in queries:
+        running.awaitTermination()
 
 
 @job("notify")
@@ -406,11 +454,17 @@ def notify_late_people(run: Context) -> DataFrame:
 
 @job("watch")
 def watch(run: Context) -> None:
-    """Rebuild and export after every change of the published activities."""
+    """Rebuild and export after every change of the published activities; where settings name
+    ``maintained_benefits``, only what changed is recomputed."""
     path = run.needs("activities", "published")["path"]
 
+    maintained = "maintained_benefits" in run.settings["tables"]
+
     def recompute(_: SparkSession) -> None:
-        build_benefits(run)
+        if maintained:
+            update_benefits(run)
+        else:
+            build_benefits(run)
         export_reports(run)
 
     recompute_on_change(

@@ -161,6 +161,24 @@ def benefits_totals(benefits: DataFrame) -> DataFrame:
     )
 
 
+def benefits_counters() -> dict[str, Column]:
+    """The control figures that need no grouping, as aggregates that a write can take along."""
+
+    def rows(condition: str) -> Column:
+        return F.count_if(F.expr(condition))
+
+    return {
+        "row_count": F.count(F.lit(1)),
+        "employees_with_activity": rows("activity_count > 0"),
+        "bonus_eligible": rows("sport_bonus_eligible"),
+        "bonus_not_eligible": rows("NOT sport_bonus_eligible"),
+        "bonus_total": F.coalesce(F.sum("sport_bonus_amount"), F.lit(0)).cast("decimal(20,2)"),
+        "wellbeing_eligible": rows("wellbeing_days_eligible"),
+        "wellbeing_not_eligible": rows("NOT wellbeing_days_eligible"),
+        "wellbeing_days": F.coalesce(F.sum("wellbeing_days_awarded"), F.lit(0)).cast("long"),
+    }
+
+
 def benefits_by_unit(benefits: DataFrame) -> DataFrame:
     """The dashboard's figures per business unit."""
     return benefits.groupBy("business_unit").agg(

@@ -8,10 +8,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from perkline import fixed_values as fixed
-from perkline.operators.cleaning import correct_values, missing_to_null, rename_headers
+from perkline.operators.cleaning import correct_values, missing_to_null, rename_headers, typed_or_set_aside
 from perkline.operators.matching import key_differences
 from perkline.operators.profiling import repeated_rows
 from perkline.schemas import EMPLOYEES, SPORT_PROFILE
+from perkline.sources.files import CORRUPT
 
 
 def _typed(df: DataFrame, schema) -> DataFrame:
@@ -29,6 +30,20 @@ def profile_from_file(raw: DataFrame, headers: dict[str, str] = fixed.SPORT_HEAD
     return _typed(missing_to_null(corrected, "sport_type"), SPORT_PROFILE)
 
 
+def employees_or_set_aside(
+    raw: DataFrame, headers: dict[str, str] = fixed.HR_HEADERS
+) -> tuple[DataFrame, DataFrame]:
+    """Employees of a leniently read file, and the records that are none: ``(record, reasons)``."""
+    return typed_or_set_aside(rename_headers(raw, headers), EMPLOYEES, CORRUPT)
+
+
+def profile_or_set_aside(
+    raw: DataFrame, headers: dict[str, str] = fixed.SPORT_HEADERS
+) -> tuple[DataFrame, DataFrame]:
+    named = correct_values(rename_headers(raw, headers), "sport_type", fixed.SPORT_CORRECTIONS)
+    return typed_or_set_aside(missing_to_null(named, "sport_type"), SPORT_PROFILE, CORRUPT)
+
+
 def audit(left: DataFrame, right: DataFrame, key: str) -> DataFrame:
     """``(section, item, value)`` rows on two files that should describe the same people.
 

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 
 def read_delimited(
@@ -18,6 +20,26 @@ def read_delimited(
     return (reader.schema(schema) if schema is not None else reader).csv(path)
 
 
+#: The whole line of a record that does not have the declared columns.
+CORRUPT = "_corrupt_record"
+
+
+def read_delimited_leniently(
+    spark: SparkSession, path: str, columns: Sequence[str] | None = None, **options: str
+) -> DataFrame:
+    """The same, all columns as text, where a record with more or fewer cells than columns does not end the read.
+
+    Such a record has its whole line in the column ``_corrupt_record``, which is NULL in good ones. ``columns`` are given for
+    files without a header row.
+    """
+    header = "true" if columns is None else "false"
+    if columns is None:
+        columns = spark.read.options(header="true", encoding="UTF-8", **options).csv(path).columns
+    schema = StructType([StructField(name, StringType()) for name in (*columns, CORRUPT)])
+    reader = spark.read.options(header=header, encoding="UTF-8", mode="PERMISSIVE", columnNameOfCorruptRecord=CORRUPT, **options)
+    return reader.schema(schema).csv(path)
+
+
 def write_delimited(df: DataFrame, path: str) -> None:
     """A folder of part files, each with a header, written in parallel."""
     df.write.mode("overwrite").options(header="true", encoding="UTF-8").csv(path)

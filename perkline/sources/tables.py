@@ -25,7 +25,7 @@ import uuid
 from collections.abc import Callable, Iterable, Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import DataType, DecimalType, NumericType, StructType
 
 
@@ -252,6 +252,8 @@ def publish(
     layout: Layout | None = None,
     replace_schema: bool = False,
     notes: dict[str, object] | None = None,
+    counters: dict[str, Column] | None = None,
+    judge: Callable[[dict[str, object]], None] | None = None,
 ) -> int:
     """Replace the whole table by ``df``, which may be computed from the table itself.
 
@@ -260,6 +262,9 @@ def publish(
     :class:`CommitConflict` is raised. A table with a layout keeps it unless another is given. Columns may be added,
     widened and dropped; any other change of a type is refused unless ``replace_schema`` is set. ``notes`` are
     kept in the record, such as the versions that ``df`` was made from.
+
+    ``counters`` are aggregates taken by the write itself, while the rows pass: nothing is read again. ``judge`` gets their
+    values and raises to keep the rows from being published; the record keeps them under ``counters`` in its notes.
     """
     spark = df.sparkSession
     old = published_snapshot(spark, path)
@@ -274,16 +279,28 @@ def publish(
                 raise SchemaConflict(f"{path}: {broken}")
     version = after + 1
     folder = f"{version:08d}-{uuid.uuid4().hex}"
+    seen = Observation() if counters else None
+    if seen is not None:
+        df = df.observe(seen, *[c.alias(name) for name, c in counters.items()])
+
+    def counted() -> dict[str, object]:
+        if seen is None:
+            return dict(notes or {})
+        if judge is not None:
+            judge(seen.get)
+        return {**(notes or {}), "counters": {n: v if isinstance(v, int | bool) else str(v) for n, v in seen.get.items()}}
+
     if layout is None:
         write_table(df, f"{path}/data/{folder}", "errorifexists", fmt, partition_by)
+        notes = counted()
         if check is not None:
             check(spark.read.format(fmt).load(f"{path}/data/{folder}"))
-        _commit(spark, path, version, folder, schema=df.schema.jsonValue(), notes=notes or {})
+        _commit(spark, path, version, folder, schema=df.schema.jsonValue(), notes=notes)
         return version
     if partition_by:
         raise ValueError("a table is laid out by key or partitioned by columns, not both")
     empty = Snapshot(path, after, folder, df.schema, layout)
-    return _publish_buckets(empty, df, range(layout.count), folder, fmt, check, notes)
+    return _publish_buckets(empty, df, range(layout.count), folder, fmt, check, counted)
 
 
 def publish_buckets(
@@ -300,7 +317,7 @@ def publish_buckets(
     """
     _require_newest(snapshot.path, published_snapshot(df.sparkSession, snapshot.path), snapshot.version)
     folder = f"{snapshot.version + 1:08d}-{uuid.uuid4().hex}"
-    return _publish_buckets(snapshot, conformed(df, snapshot.schema), touched, folder, fmt, check, notes)
+    return _publish_buckets(snapshot, conformed(df, snapshot.schema), touched, folder, fmt, check, lambda: notes or {})
 
 
 def _require_newest(path: str, newest: Snapshot | None, version: int) -> None:
@@ -317,13 +334,14 @@ def _publish_buckets(
     folder: str,
     fmt: str,
     check: Callable[[DataFrame], None] | None,
-    notes: dict[str, object] | None,
+    counted: Callable[[], dict[str, object]],
 ) -> int:
     spark, path = df.sparkSession, old.path
     touched = set(touched)
     # Rows of a bucket meet in few tasks, so that a bucket is few files; the planner splits a large one.
     placed = df.withColumn(BUCKET, old.layout.bucket()).hint("rebalance", BUCKET)
     write_table(placed, f"{path}/data/{folder}", "errorifexists", fmt, (BUCKET,))
+    notes = counted()
     fs, new_path = file_system(spark, path)
     found = fs.globStatus(new_path(f"{path}/data/{folder}/{BUCKET}=*")) or []
     written = {int(d.getPath().getName().partition("=")[2]) for d in found}
@@ -338,7 +356,7 @@ def _publish_buckets(
         named.setdefault(place, []).append(bucket)
     layout = {"keys": list(old.layout.keys), "count": old.layout.count}
     schema = old.schema.jsonValue()
-    _commit(spark, path, new.version, folder, schema=schema, layout=layout, buckets=named, notes=notes or {})
+    _commit(spark, path, new.version, folder, schema=schema, layout=layout, buckets=named, notes=notes)
     return new.version
 
 

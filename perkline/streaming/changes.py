@@ -10,7 +10,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DataType
+from pyspark.sql.types import DataType, StringType, StructField, StructType
 
 from perkline import fixed_values as fixed
 from perkline.functions.decoding import connect_decimal, micros_to_timestamp
@@ -20,6 +20,7 @@ from perkline.sources.streams import append_stream, each_batch
 from perkline.sources.tables import Layout, publish, require_published
 
 POSITION = ("partition", "offset")
+UNPARSED = "_unparsed"
 ACTIVITY_COLUMNS = (
     "activity_id",
     "employee_id",
@@ -56,8 +57,39 @@ def parse_envelopes(
     )
 
 
+def dead_letters(messages: DataFrame, carry: Sequence[str] = (), id_type: DataType | None = None) -> DataFrame:
+    """Messages that say nothing about a row: ``value`` as it came, the ``carry`` columns and the ``reason``.
+
+    ``no value`` (NULL, as after a compaction), ``no JSON`` (or values of other types), ``no payload``, ``unknown operation``, ``no key``. Together with
+    :func:`only` for all operations these are all messages, each once. Batch and streaming alike.
+    """
+    schema = StructType([*envelope(id_type).fields, StructField(UNPARSED, StringType())])
+    text = F.col("value").cast("string")
+    event = F.from_json(text, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNPARSED})
+    parsed = messages.select("value", *carry, F.explode(F.array(event)).alias("event"))
+    operation, new_id = F.col("event.payload.op"), F.col("event.payload.after.activity_id")
+    key = F.when(operation == fixed.OP_DELETE, F.coalesce(new_id, F.col("event.payload.before.activity_id"))).otherwise(new_id)
+    known = operation.isin(fixed.OP_CREATE, fixed.OP_UPDATE, fixed.OP_DELETE, fixed.OP_SNAPSHOT)
+    reason = (
+        F.when(F.col("value").isNull(), "no value")
+        .when(F.col(f"event.{UNPARSED}").isNotNull() | F.col("event").isNull(), "no JSON")
+        .when(F.col("event.payload").isNull(), "no payload")
+        .when(~F.coalesce(known, F.lit(False)), "unknown operation")
+        .when(key.isNull(), "no key")
+    )
+    return parsed.select("value", *carry, reason.alias("reason")).filter("reason IS NOT NULL")
+
+
+def set_aside(
+    messages: DataFrame, path: str, checkpoint: str, fmt: str = "parquet", once: bool = False, id_type: DataType | None = None
+) -> StreamingQuery:
+    """Append the dead letters of a topic to a table of their own, each once, next to :func:`ingest`."""
+    carry = [c for c in ("topic", *POSITION, "timestamp") if c in messages.columns]
+    return append_stream(dead_letters(messages, carry, id_type), path, checkpoint, fmt, once)
+
+
 def only(changes: DataFrame, operations: Sequence[str] = (fixed.OP_CREATE,)) -> DataFrame:
-    """Changes of the wanted kinds that name a row; everything undecodable falls out."""
+    """Changes of the wanted kinds that name a row; what cannot be decoded is in :func:`dead_letters`."""
     return changes.filter(
         F.col("operation").isin(*operations) & F.col("activity_id").isNotNull()
     )

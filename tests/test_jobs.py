@@ -6,7 +6,7 @@ from decimal import Decimal
 
 import pytest
 
-from helpers import values
+from helpers import rows, values
 from perkline import jobs, schemas
 from perkline.operators.checks import QualityError
 from perkline.sources import tables
@@ -148,6 +148,67 @@ def test_watch_rebuilds_after_a_change(spark, run, place):
         assert len(file.readlines()) == 32
 
 
+def test_figures_are_taken_while_the_rows_are_written(run, monkeypatch):
+    def read_again(rows):
+        raise AssertionError("the stored rows are not counted again")
+
+    monkeypatch.setattr(jobs.benefits, "benefits_totals", read_again)
+    figures = values(jobs.JOBS["build-benefits"](changed(run)), "metric_name", "matches")
+    assert set(figures) == set(run.settings["expected"])
+
+
+def test_benefits_by_what_changed(spark, run, place):
+    kept = changed(run, **{n: {"kind": "published", "path": f"{place}/{n}"} for n in ("benefit_days", "maintained_benefits")})
+    jobs.JOBS["build-benefits"](run)
+    jobs.JOBS["update-benefits"](kept)
+    stored = jobs.incremental.read_benefits(spark, f"{place}/maintained_benefits")
+    assert rows(stored) == rows(run.read("employee_benefits"))
+    jobs.JOBS["watch"](kept)
+    later = activities(spark, 3, employee=2, first=500)
+    tables.publish(run.read("activities").union(later), f"{place}/activities")
+    jobs.JOBS["watch"](kept)
+    assert jobs.JOBS["reconcile"](run).count() >= 3  # those activities are not in the source
+    jobs.JOBS["build-benefits"](run)
+    stored = jobs.incremental.read_benefits(spark, f"{place}/maintained_benefits")
+    assert rows(stored) == rows(run.read("employee_benefits"))
+
+
+def test_bad_records_and_dead_letters_are_set_aside(spark, run, place):
+    folder = place / "dirty"
+    folder.mkdir()
+    lines = HR.strip().split("\n")
+    (folder / "hr.csv").write_text("\n".join([*lines, lines[1] + ",one cell more", lines[1].replace(lines[1].split(",")[0], "x1", 1)]) + "\n", encoding="utf-8")
+    lenient = changed(
+        run,
+        hr_file={"kind": "csv", "path": f"{folder}/hr.csv"},
+        **{n: {"kind": "published", "path": f"{folder}/{n}"} for n in ("employees", "sport_profile")},
+        activities={"kind": "path", "path": f"{folder}/activities"},
+        dead_letters={"kind": "path", "path": f"{folder}/dead"},
+    )
+    with pytest.raises(Exception):  # noqa: B017  (whatever the reader raises)
+        jobs.JOBS["ingest-people"](lenient)
+    lenient.settings["set_bad_records_aside"] = True
+    jobs.JOBS["ingest-people"](lenient)
+    assert lenient.read("employees").count() == len(lines) - 1
+    bad = spark.read.csv(f"{place}/results/employees-set-aside", header=True).collect()
+    assert sorted(r["reasons"] for r in bad) == ["cells", "employee_id: not int"]
+
+    lenient.settings["topic"]["path"] = f"{folder}/topic"
+    lenient.settings["paths"] = {n: f"{folder}/{n}" for n in ("reports", "results", "checkpoints")}
+    feed(messages(spark, envelope("c", after(1)), "{broken", None, envelope("z", after(2)), envelope("u", after(None)), '{"payload": null}'), f"{folder}/topic")
+    for _ in range(2):  # a restart repeats nothing
+        jobs.JOBS["ingest-changes"](lenient)
+    assert lenient.read("activities").count() == 1
+    dead = lenient.read("dead_letters").collect()
+    assert sorted((r["offset"], r["reason"]) for r in dead) == [
+        (1, "no JSON"), (2, "no value"), (3, "unknown operation"), (4, "no key"), (5, "no payload"),
+    ]
+
+
+def test_late_people(spark, run, place):
+    assert jobs.JOBS["notify-late"](run).first()["messages"] == 0
+
+
 def test_notify(spark, run, place):
     jobs.JOBS["notify"](run)
     notes = run.read("notifications").collect()

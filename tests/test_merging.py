@@ -351,3 +351,20 @@ def test_what_widens():
     bad = [(LongType(), IntegerType()), (LongType(), DoubleType()), (DecimalType(10, 2), DecimalType(10, 3)), (FloatType(), DecimalType(38, 2))]
     bad += [(StringType(), IntegerType()), (LongType(), DecimalType(12, 2))]
     assert all(tables.widens(*pair) for pair in good) and not any(tables.widens(*pair) for pair in bad)
+
+
+@pytest.mark.parametrize("layout", [None, tables.Layout(("k",), 4)])
+def test_counters_of_the_write_decide(spark, folder, layout):
+    path = f"{folder}/t"
+    rows_in = spark.createDataFrame([(1, "a", 1), (2, "b", 5)], SCHEMA)
+    counters = {"n": F.count(F.lit(1)), "total": F.sum("b").cast("decimal(10,2)")}
+
+    def judge(found):
+        if found["total"] > 5:
+            raise QualityError("too much")
+
+    with pytest.raises(QualityError):
+        tables.publish(rows_in, path, counters=counters, judge=judge, layout=layout)
+    assert tables.published_version(spark, path) is None
+    tables.publish(rows_in.filter("k = 2"), path, counters=counters, judge=judge, layout=layout, notes={"by": "test"})
+    assert tables.published_snapshot(spark, path).notes == {"by": "test", "counters": {"n": 1, "total": "5.00"}}

@@ -28,7 +28,7 @@ from perkline.operators.profiling import (
 from perkline.operators.rules import commute_rules, look_up
 from perkline.plans import people, quality
 from perkline.session import shared_dir
-from perkline.sources.files import read_delimited, write_report
+from perkline.sources.files import read_delimited, read_delimited_leniently, write_report
 from workload import roles
 from workload.registry import query
 
@@ -632,6 +632,36 @@ SELECT CAST(c_custkey AS INTEGER) AS employee_id, c_name AS last_name, 'Élodie,
 FROM customer"""
 
 
+# The same file, where some records lack cells or have too many, and some values are none of their type.
+_BROKEN = """
+SELECT CASE WHEN c_acctbal < -500 THEN 'cells' WHEN c_acctbal < 0 THEN 'cells' WHEN c_acctbal < 1000 AND c_mktsegment = 'BUILDING' THEN 'birth_date: not date; gross_salary: not decimal(10,2)'
+            WHEN c_acctbal < 1000 THEN 'gross_salary: not decimal(10,2)' WHEN c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000 THEN 'last_name: missing' ELSE 'good' END AS reasons,
+       count(*) AS records, CAST(sum(CASE WHEN c_acctbal >= 1000 AND NOT (c_mktsegment = 'HOUSEHOLD' AND c_acctbal > 9000) THEN c_custkey ELSE 0 END) AS BIGINT) AS good_ids
+FROM customer GROUP BY 1"""
+
+
+@query("hr_file_quarantine", (), _BROKEN)
+def _(spark, sf_dir):
+    balance, segment = F.col("c_acctbal"), F.col("c_mktsegment")
+    cells = {name: F.lit("x") for name in fixed.HR_HEADERS.values()} | {
+        "employee_id": F.col("c_custkey").cast("string"),
+        "last_name": F.when((segment == "HOUSEHOLD") & (balance > 9000), "").otherwise(F.col("c_name")),
+        "birth_date": F.when((balance < 1000) & (segment == "BUILDING"), "31/12/1980").otherwise("1980-12-31"),
+        "hire_date": F.lit("2010-01-01"),
+        "gross_salary": F.when(balance < 1000, "n/a").otherwise("2500.50"),
+        "paid_leave_days": F.lit("25"),
+    }
+    line = F.concat_ws(",", *[cells[name] for name in fixed.HR_HEADERS.values()])
+    line = F.when(balance < -500, F.substring_index(line, ",", 4)).when(balance < 0, F.concat(line, F.lit(",y"))).otherwise(line)
+    path = shared_dir(spark, "broken-hr")
+    roles.table(spark, sf_dir, "customer").select(line.alias("value")).write.text(path)
+    raw = read_delimited_leniently(spark, path, list(fixed.HR_HEADERS))
+    good, bad = people.employees_or_set_aside(raw)
+    reasons = F.array_join("reasons", "; ").alias("reasons")
+    both = bad.select(reasons, F.lit(0).alias("id")).unionByName(good.select(F.lit("good").alias("reasons"), F.col("employee_id").alias("id")))
+    return both.groupBy("reasons").agg(F.count(F.lit(1)).alias("records"), F.sum("id").alias("good_ids"))
+
+
 @query("hr_file_ingest", (), _HR)
 def _(spark, sf_dir):
     # Customers as a person file with its real headers, written, read and ingested.

@@ -300,6 +300,32 @@ def _(spark, sf_dir):
     )
 
 
+@query(
+    "cdc_dead_letters",
+    ("changes",),
+    """
+SELECT activity_id AS "offset", CASE WHEN operation = 'u' AND seconds < 300 THEN 'no value' WHEN broken THEN 'no JSON' WHEN operation = 'r' AND seconds < 300 THEN 'no payload'
+            WHEN operation = 'd' AND seconds < 300 THEN 'unknown operation' ELSE 'no key' END AS reason
+FROM changes WHERE broken OR (seconds < 300 AND operation <> 'c') OR (operation = 'c' AND sport_type = 'purchase' AND seconds < 300)""",
+)
+def _(spark, sf_dir):
+    # Short activities arrive as tombstones, without payload, without key or with an operation nobody knows.
+    op, short = roles.operation(F.col("event_type")), F.col("value") < 5
+    events = roles.table(spark, sf_dir, "events")
+    kinds = events.select(F.col("event_id").alias("offset"), op.alias("op"), "event_type", short.alias("short"))
+    sent = roles.envelopes(events).join(kinds, "offset")
+    text = F.col("value").cast("string")
+    value = (
+        F.when(F.col("short") & (F.col("op") == "u"), None)
+        .when(F.col("short") & (F.col("op") == "r"), '{"schema": {}}')
+        .when(F.col("short") & (F.col("op") == "d"), F.replace(text, F.lit('"op":"d"'), F.lit('"op":"x"')))
+        .when(F.col("short") & (F.col("event_type") == "purchase"), F.replace(text, F.lit("activity_id"), F.lit("row_id")))
+        .otherwise(text)
+    )
+    found = cdc.dead_letters(sent.withColumn("value", value.cast("binary")), ["offset"], id_type=LONG)
+    return found.select("offset", "reason")
+
+
 # Every user is one row here, and all its events are changes to that row.
 _USER_HISTORY = """
 WITH history AS (
