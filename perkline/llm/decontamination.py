@@ -25,6 +25,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perkline.llm.names import unused
 from perkline.llm.storage import stored
 
 SPAN, GRAM = 10, 5
@@ -226,6 +227,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram:
 def without_contaminated(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> DataFrame:
     """The documents that share no window with an item."""
     _, spans = contaminated_spans(docs, benchmark, span, gram)
-    found = spans.select(F.col("key").alias("_key")).distinct()
+    (name,) = unused(docs.columns, "_key")
+    found = spans.select(F.col("key").alias(name)).distinct()
     key = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
-    return docs.withColumn("_key", key).join(found, "_key", "left_anti").select(*docs.columns)
+    return docs.withColumn(name, key).join(found, name, "left_anti").select(*docs.columns)

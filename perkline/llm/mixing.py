@@ -14,7 +14,8 @@ range, so a source with most of the rows is spread like any other.
 
 Defined cases: null texts have no words; documents without source form the last source;
 sources without words have target 0; documents without id and repeated rows count like others
-(repeated rows follow each other); no rows give no rows.
+(repeated rows follow each other); equal positions go by a hash; a text of any length is counted whole; no rows
+give no rows; other columns are kept, whatever their names, but for those named like the ones added.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perkline.llm.names import unused
+from perkline.llm.ordering import numbered
 from perkline.llm.storage import stored
 
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -83,38 +86,41 @@ def curriculum(docs: DataFrame, max_epochs: int = 2, whole: bool = False, **targ
     """
     added = ("size", "source_size", "target", "takes")
     docs = docs.drop(*added)
+    order_, range_, start, named_, inside_, from_, target_slope = unused(
+        docs.columns, "_order", "_range", "_start", "_source", "_inside", "_from", "slope"
+    )
     size = word_count(F.col("text"))
     order = F.xxhash64(F.col("doc_id"), F.coalesce(F.col("text"), F.lit("")))
     spread = F.pmod(order, F.lit(RANGES)).cast("int")
-    sized = docs.withColumns({"size": size, "_order": order, "_range": spread})
+    sized = docs.withColumns({"size": size, order_: order, range_: spread})
 
     ranges = stored(
-        sized.groupBy("source", "_range").agg(F.sum("size").alias("words")), "mixing-ranges"
+        sized.groupBy("source", range_).agg(F.sum("size").alias("words")), "mixing-ranges"
     )
     sizes = ranges.groupBy("source").agg(F.sum("words").alias("source_size"))
-    plan = source_targets(sizes, max_epochs=float(max_epochs), **targets).drop("rank", "weight")
-    ahead = Window.partitionBy("source").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
-    starts = ranges.withColumn("_start", F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
+    plan = source_targets(sizes, max_epochs=float(max_epochs), **targets).drop("rank", "weight").withColumnRenamed("slope", target_slope)
+    ahead = Window.partitionBy("source").orderBy(range_).rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranges.withColumn(start, F.coalesce(F.sum("words").over(ahead), F.lit(0))).drop("words")
     named = F.struct(F.col("source").isNull(), F.coalesce("source", F.lit("")))
-    starts = starts.withColumn("_source", named).drop("source").join(
-        plan.withColumn("_source", named).drop("source"), "_source"
+    starts = starts.withColumn(named_, named).drop("source").join(
+        plan.withColumn(named_, named).drop("source"), named_
     )
 
     inside = (
-        Window.partitionBy("_source", "_range")
-        .orderBy("_order", "doc_id", "size")
+        Window.partitionBy(named_, range_)
+        .orderBy(order_, "doc_id", "size")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
     placed = (
-        sized.withColumn("_source", named)
-        .withColumn("_inside", F.coalesce(F.sum("size").over(inside), F.lit(0)))
-        .join(starts, ["_source", "_range"])
-        .withColumn("_from", F.col("_start") + F.col("_inside"))
+        sized.withColumn(named_, named)
+        .withColumn(inside_, F.coalesce(F.sum("size").over(inside), F.lit(0)))
+        .join(starts, [named_, range_])
+        .withColumn(from_, F.col(start) + F.col(inside_))
     )
     wanted = F.round("target").cast("long")
 
     def take(epoch: int) -> Column:
-        begin = F.col("_from") + F.col("source_size") * epoch
+        begin = F.col(from_) + F.col("source_size") * epoch
         left = wanted - begin
         if whole:
             words = F.when(2 * left >= F.col("size"), F.col("size")).otherwise(F.lit(0))
@@ -123,7 +129,7 @@ def curriculum(docs: DataFrame, max_epochs: int = 2, whole: bool = False, **targ
         return F.struct(
             F.lit(epoch).alias("epoch"),
             F.when(left > 0, words).otherwise(F.lit(0)).cast("long").alias("words"),
-            _position(begin.cast("double"), F.col("target"), F.col("slope")).alias("position"),
+            _position(begin.cast("double"), F.col("target"), F.col(target_slope)).alias("position"),
         )
 
     takes = F.filter(F.array(*map(take, range(max_epochs))), lambda t: t["words"] > 0)
@@ -132,11 +138,41 @@ def curriculum(docs: DataFrame, max_epochs: int = 2, whole: bool = False, **targ
 
 def training_order(planned: DataFrame, columns: list[str]) -> DataFrame:
     """``columns`` of every document as often as it is taken, range-sorted by position."""
-    each = planned.select(*columns, F.explode("takes").alias("_take"))
+    take, position, tie = unused(planned.columns, "_take", "_position", "_tie")
+    each = planned.select(*columns, F.explode("takes").alias(take))
     return (
-        each.withColumn("_position", F.col("_take.position"))
-        .withColumn("_tie", F.xxhash64("doc_id", "_take.epoch"))
-        .repartitionByRange("_position", "_tie")
-        .sortWithinPartitions("_position", "_tie")
+        each.withColumn(position, F.col(f"{take}.position"))
+        .withColumn(tie, F.xxhash64("doc_id", f"{take}.epoch"))
+        .repartitionByRange(position, tie)
+        .sortWithinPartitions(position, tie)
         .select(*columns)
     )
+
+
+def training_ranks(planned: DataFrame) -> DataFrame:
+    """doc_id, size, source_size and target of every document, and what the training takes of it.
+
+    ``taken`` is the number of words, ``first_position`` the earliest position, and ``ranks`` are the places in the training
+    order (from 0, ascending): all takes of all documents, range-sorted by position. Texts are not moved.
+    """
+    rows = planned.select("doc_id", "size", "source_size", "target", "takes")
+    rows = stored(rows.withColumn("row", F.monotonically_increasing_id()), "mixing-rows")
+    each = rows.select("row", F.explode("takes").alias("take"), F.lit(0).alias("all"))
+    each = each.select("row", "all", "take.epoch", "take.words", F.col("take.position").alias("position_of"))
+    order = ["position_of", F.xxhash64("row", "epoch"), "row", "epoch"]
+    ranked = numbered(each, "all", order).withColumnRenamed("position", "rank")
+    # A document is taken as often as there are epochs, at most.
+    found = ranked.groupBy("row").agg(
+        F.sum("words").alias("taken"),
+        F.min("position_of").alias("first_position"),
+        F.array_sort(F.collect_list("rank")).alias("ranks"),
+    )
+    return rows.drop("takes").join(found, "row", "left").select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        F.coalesce("taken", F.lit(0).cast("long")).alias("taken"),
+        "first_position",
+        F.coalesce("ranks", F.array().cast("array<long>")).alias("ranks"),
+    )

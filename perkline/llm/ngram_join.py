@@ -43,6 +43,7 @@ from pyspark.sql import functions as F
 from perkline.llm import tokens
 from perkline.llm.components import connected_components
 from perkline.llm.shipping import ship_library
+from perkline.llm.names import unused
 from perkline.llm.storage import discard, release_shuffles, stored
 
 MOST_FREQUENT = 200_000  # n-grams whose frequency moves them to the end of the order
@@ -378,6 +379,7 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFra
 
     Of repeated rows one stays. Documents without words or without id link with nothing.
     """
+    (key,) = unused(docs.columns, "_key")
     grouped = ngram_join(docs, n, percent)
     single = (F.col("n_shingles") == 0) | F.col("doc_id").isNull()
     first = (
@@ -385,13 +387,13 @@ def one_of_each_group(docs: DataFrame, n: int = 5, percent: int = 80) -> DataFra
         .where(F.col("doc_id") == F.col("component_id"))
         .groupBy("component_id")
         # An id with several texts in the group: one of them.
-        .agg(F.min("key").alias("_key"))
-        .select("_key")
+        .agg(F.min("key").alias(key))
+        .select(key)
     )
-    kept = first.unionByName(grouped.where(single).select(F.col("key").alias("_key"))).distinct()
+    kept = first.unionByName(grouped.where(single).select(F.col("key").alias(key))).distinct()
     return (
-        docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
-        .join(kept, "_key", "left_semi")
-        .dropDuplicates(["_key"])
+        docs.withColumn(key, F.xxhash64(F.col("doc_id").cast("long"), F.coalesce("text", F.lit(""))))
+        .join(kept, key, "left_semi")
+        .dropDuplicates([key])
         .select(*docs.columns)
     )

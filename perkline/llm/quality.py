@@ -6,17 +6,14 @@ anything but letters and digits become one space, lower case) and hashed; for ev
 distinct documents of each line are counted. Lines above the host's limit are removed, and a
 document is rejected if too little of it is left.
 
-"Distinct documents" are counted exactly: one for each different set of normalised lines. Then near copies
-become one: lines of ``PARTS`` words or more that are equal but for one part (a quarter of their words)
-are of one class, classes are closed over such pairs, and documents of a host whose lines have the same
-set of classes count once. Otherwise copies with a word changed here and there would make boilerplate of all
-their other lines and reject each other, the last one too. Documents of one template with a line of
-their own stay apart, however much of them is template. The second count is made for the lines that exceed
-the limit in the first; it can only lower a count, so none is missed.
+"Distinct documents" are counted exactly: one for each different set of normalised lines of a host. Copies, also
+those with lines in another order, count once; texts that differ in a word are different documents, as near
+copies are another step's business. The limit is a share of the host's distinct documents.
 
 Defined cases: a null text is empty and fails; lines without a letter or digit are never counted
-or removed; a missing host is a host of its own; repeated rows count as copies; an empty table
-gives an empty result; other columns are kept and ignored.
+or removed; a missing host is a host of its own; repeated rows count as copies; of equal lines in a text all
+go or stay; a text of any length is measured whole, its lines in memory; an empty table gives an empty
+result; other columns are kept and ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -32,7 +29,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from perkline.llm import tokens
-from perkline.llm.components import connected_components
+from perkline.llm.names import unused
 from perkline.llm.shipping import ship_library
 from perkline.llm.storage import stored
 
@@ -43,7 +40,6 @@ SYMBOLS = "#*$%&|<>"
 MIN_DOCUMENTS = 10  # a line of fewer different documents of a host is never removed
 MAX_SHARE = 0.10  # of a host's documents
 MIN_LEFT_PERCENT = 20  # of a document's words
-PARTS = 4  # of a line, one of which may differ in near copies
 
 _IS_SYMBOL = np.zeros(256, np.int64)
 _IS_SYMBOL[[ord(c) for c in SYMBOLS]] = 1
@@ -51,7 +47,7 @@ _STARTS_CODE_POINT = (np.arange(256) & 0xC0) != 0x80
 _IS_WORD_CODE_POINT = (_STARTS_CODE_POINT & tokens.NOT_SPACE).astype(np.int64)
 _SEPARATORS = re.compile(r"[\W_]+")
 _WORD = re.compile(r"[^\x20\x09-\x0D]+")
-_LINES = "line_hashes array<long>, line_words array<long>, line_edits array<long>, host string"
+_LINES = "line_hashes array<long>, line_words array<long>, host string"
 _COUNTS = "key long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long"
 
 
@@ -78,15 +74,6 @@ def line_hash(line: str) -> int | None:
     return _hash(plain) if plain else None
 
 
-def line_edits(plain: str) -> list[int]:
-    """Hashes of the normalised line without each of its parts in turn; shorter lines have zeros."""
-    words = plain.split(" ")
-    if len(words) < PARTS:
-        return [0] * PARTS
-    cuts = [len(words) * i // PARTS for i in range(PARTS + 1)]
-    return [_hash(f"{i} {' '.join(words[: cuts[i]])}\n{' '.join(words[cuts[i + 1] :])}") for i in range(PARTS)]
-
-
 def _repeated_words(grams: np.ndarray, n_words: int) -> int:
     """Words inside windows that occur twice or more among ``grams``, the windows of one text."""
     order = np.argsort(grams, kind="stable")
@@ -103,10 +90,10 @@ def _repeated_words(grams: np.ndarray, n_words: int) -> int:
     return int((np.cumsum(step[:-1]) > 0).sum())
 
 
-def _lines(text: str) -> tuple[int, list[int], list[int], list[int]]:
-    """Repeated lines, and hash, words and edits of each different normalised line."""
+def _lines(text: str) -> tuple[int, list[int], list[int]]:
+    """Repeated lines, and hash and words of each different normalised line."""
     seen: set[str] = set()
-    repeated, words, edits = 0, {}, []
+    repeated, words = 0, {}
     for line in text.split("\n"):
         n = len(_WORD.findall(line))
         if not n:
@@ -117,17 +104,15 @@ def _lines(text: str) -> tuple[int, list[int], list[int], list[int]]:
         plain = _plain(line)
         if plain:
             h = _hash(plain)
-            if h not in words:
-                edits += line_edits(plain)
             words[h] = words.get(h, 0) + n
-    return repeated, list(words), list(words.values()), edits
+    return repeated, list(words), list(words.values())
 
 
 def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         column = batch.column("text")
         columns: list[list] = [[] for _ in range(5)]
-        hashes, words, edits = [], [], []
+        hashes, words = [], []
         for first, last, data, offsets in tokens.text_chunks(column):
             starts, ends, rows = tokens.word_bounds(data, offsets)
             grams = tokens.gram_hashes(tokens.word_hashes(data, starts, ends, lower=False), WINDOW)
@@ -137,13 +122,12 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for total, out in zip(sums, columns[1:3]):
                 out += (total[offsets[1:]] - total[offsets[:-1]]).tolist()
             for i in range(last - first):
-                repeated, line_hashes, line_words, edited = _lines(column[first + i].as_py() or "")
+                repeated, line_hashes, line_words = _lines(column[first + i].as_py() or "")
                 columns[3].append(repeated)
                 many = n_words[i] >= WINDOW
                 columns[4].append(_repeated_words(grams[rows[i] : rows[i + 1] - WINDOW + 1], n_words[i]) if many else 0)
                 hashes.append(np.array(line_hashes, np.int64))
                 words.append(np.array(line_words, np.int64))
-                edits.append(np.array(edited, np.int64))
         yield pa.record_batch(
             [
                 batch.column("doc_id"),
@@ -151,42 +135,12 @@ def _measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 *[pa.array(c, pa.int64()) for c in columns],
                 tokens.list_column(hashes, pa.int64()),
                 tokens.list_column(words, pa.int64()),
-                tokens.list_column(edits, pa.int64()),
                 batch.column("host"),
             ],
-            names=["doc_id", *[c.split()[0] for c in _COUNTS.split(", ")], "line_hashes", "line_words", "line_edits", "host"],
+            names=["doc_id", *[c.split()[0] for c in _COUNTS.split(", ")], "line_hashes", "line_words", "host"],
         )
 
 
-def _without_near_copies(lines: DataFrame, often: DataFrame) -> DataFrame:
-    """(host, line, documents) of the lines in ``often``, near copies counted once.
-
-    ``lines`` has one row (host, document, line, edits) per line of each different document.
-    """
-    concerned = lines.join(often, ["host", "line"], "left_semi").select("host", "document").distinct()
-    theirs = stored(lines.join(concerned, ["host", "document"], "left_semi"), "quality-concerned")
-    edits = theirs.select("line", F.explode("edits").alias("edit")).where("edit != 0").distinct()
-    first = edits.groupBy("edit").agg(F.min("line").alias("a"), F.max("line").alias("last")).where("a < last")
-    edges = edits.join(first, "edit").where("line != a").select("a", F.col("line").alias("b"))
-    classes = connected_components(edges).toDF("line", "class")
-    # A document's own lines are gathered, no more.
-    copies = (
-        theirs.select("host", "document", "line")
-        .join(classes, "line", "left")
-        .groupBy("host", "document")
-        .agg(F.xxhash64(F.array_sort(F.collect_set(F.coalesce("class", "line")))).alias("kind"))
-    )
-    return (
-        theirs.select("host", "document", "line")
-        .join(often, ["host", "line"])
-        .join(copies, ["host", "document"])
-        .select("host", "line", "kind")
-        .distinct()
-        .groupBy("host", "line")
-        .agg(F.count("*").alias("documents"))
-    )
-
-
 def judge(
     docs: DataFrame,
     host: str = "source",
@@ -205,29 +159,20 @@ def judge(
         ),
         "quality-counts",
     )
-    hosts = measured.groupBy("host").agg(F.count("*").alias("documents"))
-
     # One row per host and set of lines: copies are gone.
-    sets = measured.select("host", F.xxhash64(F.array_sort("line_hashes")).alias("document"), "line_hashes", "line_edits")
-    sets = sets.where(F.size("line_hashes") > 0).dropDuplicates(["host", "document"])
-    lines = stored(
-        sets.select("host", "document", F.posexplode("line_hashes").alias("at", "line"), "line_edits").select(
-            "host", "document", "line", F.slice("line_edits", F.col("at") * PARTS + 1, PARTS).alias("edits")
-        ),
-        "quality-lines",
+    sets = measured.select("host", F.xxhash64(F.array_sort("line_hashes")).alias("document"), "line_hashes")
+    sets = stored(sets.dropDuplicates(["host", "document"]), "quality-sets")
+    hosts = sets.groupBy("host").agg(F.count("*").alias("of_host"))
+    lines = sets.select("host", F.explode("line_hashes").alias("line"))
+    counted = lines.groupBy("host", "line").agg(F.count("*").alias("documents"))
+    limit = F.greatest(F.lit(min_documents), F.col("of_host") * max_share)
+    common = stored(
+        counted.where(F.col("documents") > min_documents)
+        .join(hosts, "host")
+        .where(F.col("documents") > limit)
+        .select("host", "line"),
+        "quality-common",
     )
-
-    def above_limit(counted: DataFrame) -> DataFrame:
-        limit = F.greatest(F.lit(min_documents), F.col("of_host") * max_share)
-        return (
-            counted.where(F.col("documents") > min_documents)
-            .join(hosts.withColumnRenamed("documents", "of_host"), "host")
-            .where(F.col("documents") > limit)
-            .select("host", "line")
-        )
-
-    often = stored(above_limit(lines.groupBy("host", "line").agg(F.count("*").alias("documents"))), "quality-often")
-    common = stored(above_limit(_without_near_copies(lines, often)), "quality-common")
     removed = (
         measured.select("key", "host", F.explode(F.arrays_zip("line_hashes", "line_words")).alias("l"))
         .select("key", "host", F.col("l.line_hashes").alias("line"), F.col("l.line_words").alias("words"))
@@ -245,7 +190,7 @@ def judge(
         (F.col("words_left") < MIN_WORDS) | (F.col("words_left") * 100 < F.col("n_words") * min_left_percent)
     )
     return (
-        measured.drop("line_hashes", "line_words", "line_edits")
+        measured.drop("line_hashes", "line_words")
         .join(removed, ["key", "host"], "left")
         .withColumn("words_left", left)
         .withColumn("base_failed", base_failed)
@@ -254,17 +199,20 @@ def judge(
     )
 
 
-def _without(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        texts = []
-        for text, removed in zip(batch.column("text").to_pylist(), batch.column("_removed").to_pylist()):
-            if removed:
-                gone = set(removed)
-                text = "\n".join(line for line in text.split("\n") if line_hash(line) not in gone)
-            texts.append(text)
-        at = batch.schema.get_field_index("text")
-        batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
-        yield batch.drop_columns(["_removed"])
+def _without(removed_column: str):
+    def clean_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = []
+            for text, removed in zip(batch.column("text").to_pylist(), batch.column(removed_column).to_pylist()):
+                if removed:
+                    gone = set(removed)
+                    text = "\n".join(line for line in text.split("\n") if line_hash(line) not in gone)
+                texts.append(text)
+            at = batch.schema.get_field_index("text")
+            batch = batch.set_column(at, batch.schema.field(at), pa.array(texts, batch.schema.field(at).type))
+            yield batch.drop_columns([removed_column])
+
+    return clean_texts
 
 
 def clean(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
@@ -272,14 +220,14 @@ def clean(docs: DataFrame, host: str = "source", **limits) -> DataFrame:
 
     A column n_chars, if there is one, is counted anew.
     """
+    key, at_host, removed = unused(docs.columns, "_key", "_host", "_removed")
     verdicts = judge(docs, host, **limits).where("kept").select("key", "host", "removed").dropDuplicates(["key", "host"])
-    verdicts = verdicts.toDF("_key", "_host", "_removed")
     kept = (
-        docs.withColumns({"_key": document_key(), "_host": _named(host)})
-        .join(verdicts, ["_key", "_host"])
-        .select(*docs.columns, "_removed")
+        docs.withColumns({key: document_key(), at_host: _named(host)})
+        .join(verdicts.toDF(key, at_host, removed), [key, at_host])
+        .select(*docs.columns, removed)
     )
-    cleaned = kept.mapInArrow(_without, docs.schema)
+    cleaned = kept.mapInArrow(_without(removed), docs.schema)
     if "n_chars" in docs.columns:
         kind = dict(docs.dtypes)["n_chars"]
         cleaned = cleaned.withColumn("n_chars", F.char_length("text").cast(kind))

@@ -64,7 +64,37 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query("op3_quality")
+OP3_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, source, coalesce(text, '') AS text FROM documents),
+w AS (SELECT rid, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM d),
+windows AS (SELECT rid, i, list_slice(w, i, i + 4) AS win FROM (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM w WHERE len(w) >= 5)),
+often AS (SELECT rid, unnest(list(i)) AS i FROM windows GROUP BY rid, win HAVING count(*) > 1),
+covered AS (SELECT rid, count(DISTINCT p)::BIGINT AS n FROM (SELECT rid, unnest(range(i, i + 5)) AS p FROM often) GROUP BY rid),
+lines AS (
+  SELECT rid, source, pos, line, n, trim(regexp_replace(lower(line), '[^\p{L}\p{N}]+', ' ', 'g')) AS plain
+  FROM (SELECT rid, source, pos, line, len(list_filter(regexp_split_to_array(line, '[\x20\x09-\x0D]+'), lambda x: x <> '')) AS n
+        FROM (SELECT rid, source, unnest(range(1, len(all_lines) + 1)) AS pos, unnest(all_lines) AS line
+              FROM (SELECT rid, source, string_split(text, chr(10)) AS all_lines FROM d)))
+  WHERE n > 0),
+dup AS (SELECT rid, sum(c - 1)::BIGINT AS n FROM (SELECT rid, line, count(*) AS c FROM lines GROUP BY rid, line) GROUP BY rid),
+own AS (SELECT rid, source, plain, sum(n) AS n FROM lines WHERE plain <> '' GROUP BY rid, source, plain),
+sets AS (SELECT DISTINCT source, coalesce(l, []) AS l FROM (SELECT d.rid, d.source, list_sort(list(plain) FILTER (plain IS NOT NULL)) AS l FROM d LEFT JOIN own USING (rid) GROUP BY d.rid, d.source)),
+hosts AS (SELECT source, count(*) AS n FROM sets GROUP BY source),
+common AS (
+  SELECT c.source, c.plain FROM (SELECT source, plain, count(*) AS n FROM (SELECT source, unnest(l) AS plain FROM sets) GROUP BY source, plain) c
+  JOIN hosts ON hosts.source IS NOT DISTINCT FROM c.source WHERE c.n > 10 AND c.n > 0.1 * hosts.n),
+gone AS (SELECT rid, sum(own.n) AS n FROM own JOIN common c ON c.source IS NOT DISTINCT FROM own.source AND c.plain = own.plain GROUP BY rid),
+base AS (
+  SELECT d.rid, doc_id, len(w)::BIGINT AS n_words, length(regexp_replace(text, '[\x20\x09-\x0D]+', '', 'g'))::BIGINT AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g'))::BIGINT AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines, coalesce(covered.n, 0) AS n_repeat_words, gone.n AS gone
+  FROM d JOIN w USING (rid) LEFT JOIN dup USING (rid) LEFT JOIN covered USING (rid) LEFT JOIN gone USING (rid))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+  NOT (n_words < 10 OR 100 * n_repeat_words > 20 * n_words) AND NOT (gone IS NOT NULL AND (n_words - gone < 10 OR 100 * (n_words - gone) < 20 * n_words)) AS kept
+FROM base
+"""
+
+
+@query("op3_quality", OP3_SQL)
 def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
     return quality.judge(docs).select(
@@ -75,8 +105,7 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_mixing")
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
-    taken = F.aggregate("takes", F.lit(0).cast("long"), lambda total, t: total + t["words"])
-    return mixing.curriculum(docs).select("doc_id", "size", "source_size", "target", taken.alias("taken"))
+    return mixing.training_ranks(mixing.curriculum(docs))
 
 
 OP9_SQL = r"""

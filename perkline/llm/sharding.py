@@ -11,7 +11,9 @@ shard; one that exceeds a whole shard is dealt out by document. The boundaries t
 the rest so that all shards come out equal.
 
 Defined cases: a null text has no bytes and counts as size 1, as an empty one does; documents
-without id and repeated rows are placed like others; with no documents there are no rows.
+without id and repeated rows are placed like others; ties (equal texts) stand by a hash of the id;
+a text of any length is one document, whole; with no documents there are no rows; other columns are kept, but for those
+named like the ones added, whatever their names.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ import heapq
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from perkline.llm.names import unused
 from perkline.llm.storage import stored
 
 KEY_BITS, RADIX_BITS = 63, 8
@@ -107,58 +110,61 @@ def shard_documents(docs: DataFrame, n_shards: int = 16, tolerance: float = 0.01
     """
     spark = docs.sparkSession
     docs = docs.drop("size", "shard", "slot")
+    key, own, at_part, at_placed, at_fine, first, row = unused(
+        docs.columns, "_key", "_own", "_part", "_placed", "_fine", "_first", "_row"
+    )
     keyed = docs.select(
         "*",
         byte_size(F.col("text")).alias("size"),
-        text_key(F.col("text")).alias("_key"),
-        F.xxhash64(F.col("doc_id"), F.lit(1)).alias("_own"),
+        text_key(F.col("text")).alias(key),
+        F.xxhash64(F.col("doc_id"), F.lit(1)).alias(own),
     )
-    keys = stored(keyed.select("size", "_key", "_own"), "shard-keys")
+    keys = stored(keyed.select("size", key, own), "shard-keys")
 
     total = keys.agg(F.sum("size")).first()[0] or 0
     share = total / n_shards
     heavy = (
-        keys.groupBy("_key").agg(F.sum("size").alias("total")).where(F.col("total") > share * tolerance).collect()
+        keys.groupBy(key).agg(F.sum("size").alias("total")).where(F.col("total") > share * tolerance).collect()
     )
-    over = [r["_key"] for r in heavy if r["total"] > share]
-    items = [(r["_key"], -1, r["total"]) for r in heavy if r["total"] <= share]
-    part = F.pmod(F.col("_own"), F.lit(PARTS)).cast("int")
+    over = [r[key] for r in heavy if r["total"] > share]
+    items = [(r[key], -1, r["total"]) for r in heavy if r["total"] <= share]
+    part = F.pmod(F.col(own), F.lit(PARTS)).cast("int")
     if over:
-        parts = keys.where(F.col("_key").isin(over)).groupBy("_key", part.alias("part"))
+        parts = keys.where(F.col(key).isin(over)).groupBy(key, part.alias("part"))
         items += [tuple(r) for r in parts.agg(F.sum("size")).collect()]
     placed, loads = _placed(items, n_shards)
-    placed_table = spark.createDataFrame(placed, "_key long, _part int, _placed int")
+    placed_table = spark.createDataFrame(placed, f"{key} long, {at_part} int, {at_placed} int")
 
     room = _room(loads, total - sum(loads))
     targets = [sum(room[: i + 1]) for i in range(n_shards - 1)]
-    light = keys.join(F.broadcast(placed_table.select("_key").distinct()), "_key", "left_anti")
-    bounds = splitters(light, "_key", "size", targets, share * tolerance / 10) if total else []
+    light = keys.join(F.broadcast(placed_table.select(key).distinct()), key, "left_anti")
+    bounds = splitters(light, key, "size", targets, share * tolerance / 10) if total else []
 
     def assigned(df: DataFrame) -> DataFrame:
         by_key = F.lit(0)
         for bound in bounds:
             if bound >> KEY_BITS:  # above every key
                 continue
-            by_key = by_key + (F.col("_key") >= bound).cast("int")
-        fine = F.when(F.col("_placed").isNull(), F.shiftright("_key", KEY_BITS - FINE_BITS)).otherwise(
-            F.pmod(F.col("_own"), F.lit(1 << FINE_BITS))
+            by_key = by_key + (F.col(key) >= bound).cast("int")
+        fine = F.when(F.col(at_placed).isNull(), F.shiftright(key, KEY_BITS - FINE_BITS)).otherwise(
+            F.pmod(F.col(own), F.lit(1 << FINE_BITS))
         )
-        df = df.withColumn("_part", F.when(F.col("_key").isin(over), part).otherwise(F.lit(-1)))
+        df = df.withColumn(at_part, F.when(F.col(key).isin(over), part).otherwise(F.lit(-1)))
         # At most n_shards / tolerance texts and n_shards * PARTS parts of texts.
-        df = df.join(F.broadcast(placed_table), ["_key", "_part"], "left")
-        return df.select("*", F.coalesce("_placed", by_key).alias("shard"), fine.cast("int").alias("_fine"))
+        df = df.join(F.broadcast(placed_table), [key, at_part], "left")
+        return df.select("*", F.coalesce(at_placed, by_key).alias("shard"), fine.cast("int").alias(at_fine))
 
-    ahead = Window.partitionBy("shard").orderBy("_fine").rowsBetween(Window.unboundedPreceding, -1)
+    ahead = Window.partitionBy("shard").orderBy(at_fine).rowsBetween(Window.unboundedPreceding, -1)
     first_slot = (
         assigned(keys)
-        .groupBy("shard", "_fine")
+        .groupBy("shard", at_fine)
         .agg(F.count("*").alias("n"))
-        .select("shard", "_fine", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("_first"))
+        .select("shard", at_fine, F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias(first))
     )
-    inside = Window.partitionBy("shard", "_fine").orderBy("_key", "_own", "doc_id")
+    inside = Window.partitionBy("shard", at_fine).orderBy(key, own, "doc_id")
     return (
         assigned(keyed)
-        .withColumn("_row", F.row_number().over(inside))
-        .join(first_slot, ["shard", "_fine"])
-        .select(*docs.columns, "size", "shard", (F.col("_first") + F.col("_row") - 1).alias("slot"))
+        .withColumn(row, F.row_number().over(inside))
+        .join(first_slot, ["shard", at_fine])
+        .select(*docs.columns, "size", "shard", (F.col(first) + F.col(row) - 1).alias("slot"))
     )

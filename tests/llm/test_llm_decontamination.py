@@ -105,3 +105,11 @@ def test_plan_has_no_python(session, documents, cases):
     benchmark = session.createDataFrame(cases[1], "item_id long, text string")
     plan = decontaminate(documents(cases[0]), benchmark)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "InArrow" not in plan and "CartesianProduct" not in plan
+
+
+def test_columns_with_names_of_helpers_stay(session, documents):
+    words = " ".join(f"w{k}" for k in range(30))
+    items = session.createDataFrame([(1, words)], "item_id long, text string")
+    docs = documents([(1, words), (2, "clean text of a few words")]).selectExpr("*", "concat('mine', doc_id) as _key")
+    got = decontamination.without_contaminated(docs, items).collect()
+    assert [(r["doc_id"], r["_key"]) for r in got] == [(2, "mine2")]

@@ -7,6 +7,7 @@ from collections import defaultdict
 import pytest
 
 from perkline.llm import mixing
+from perkline.llm.queries import QUERIES
 
 
 def size(text):
@@ -99,3 +100,64 @@ def test_odd_rows(documents, odd_texts):
     assert mixing.curriculum(documents(odd_texts).where("false")).count() == 0
     empty = mixing.curriculum(documents([(1, None), (2, " ")])).collect()
     assert [(r["target"], r["takes"]) for r in empty] == [(0.0, [])] * 2
+
+
+def test_ranks_follow_positions(session, documents, corpus):
+    """The query's rows: what is taken, and where in the training order, from the schedules of all sources."""
+    rows, sources = corpus
+    planned = mixing.curriculum(documents(rows, sources))
+    got = mixing.training_ranks(planned).collect()
+    plain = {r["doc_id"]: r for r in planned.collect()}
+    places = sorted((rank, r["doc_id"]) for r in got for rank in r["ranks"])
+    assert [rank for rank, _ in places] == list(range(len(places)))
+    assert len(got) == len(rows)
+    positions, seen = [], defaultdict(int)
+    for _, doc_id in places:
+        takes = sorted(plain[doc_id]["takes"], key=lambda t: t["position"])
+        positions.append(takes[seen[doc_id]]["position"])
+        seen[doc_id] += 1
+    assert positions == sorted(positions)
+    for r in got:
+        takes = plain[r["doc_id"]]["takes"]
+        assert len(r["ranks"]) == len(takes) and r["taken"] == sum(t["words"] for t in takes)
+        assert r["first_position"] == min((t["position"] for t in takes), default=None)
+
+
+def test_query_equals_brute_force(session):
+    """The registered query against targets and demands counted in Python over the whole table."""
+    sf_dir = "/root/testdata/sf0.001"
+    got = QUERIES["op7_mixing"](session, sf_dir).collect()
+    docs = session.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "source").collect()
+    sizes, taken, demand = defaultdict(int), defaultdict(int), defaultdict(list)
+    for d in docs:
+        sizes[d["source"]] += size(d["text"])
+    targets = brute_targets(sizes)
+    source = {d["doc_id"]: d["source"] for d in docs}
+    plain = {d["doc_id"]: size(d["text"]) for d in docs}
+    assert sorted(r["doc_id"] for r in got) == sorted(source)
+    for r in got:
+        own = source[r["doc_id"]]
+        assert (r["size"], r["source_size"]) == (plain[r["doc_id"]], sizes[own])
+        assert r["target"] == pytest.approx(targets[own]) and 0 <= r["taken"] <= 2 * r["size"]
+        assert bool(r["ranks"]) == (r["taken"] > 0)
+        taken[own] += r["taken"]
+        demand[own] += [r["first_position"]] if r["ranks"] else []
+    assert all(abs(taken[s] - targets[s]) <= 1 for s in targets)
+    ranks = sorted(rank for r in got for rank in r["ranks"])
+    assert ranks == list(range(len(ranks)))
+
+
+def test_the_training_order_is_range_sorted(documents, corpus, capsys):
+    mixing.training_order(mixing.curriculum(documents(*corpus), whole=True), ["doc_id"]).explain()
+    assert "rangepartitioning" in capsys.readouterr().out
+
+
+def test_columns_with_names_of_helpers_stay(documents, corpus):
+    rows, sources = corpus
+    names = ("_order", "_range", "_start", "_source", "_inside", "_from", "_take", "_position", "_tie", "slope", "_at")
+    docs = documents(rows[:200], sources[:200]).selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    planned = mixing.curriculum(docs, whole=True)
+    got = mixing.training_order(planned, docs.columns).collect()
+    assert got and all(r[n] == f"{n}{r['doc_id']}" for r in got for n in names)
+    same = mixing.curriculum(documents(rows[:200], sources[:200]), whole=True)
+    assert sorted(map(repr, planned.select("doc_id", "takes").collect())) == sorted(map(repr, same.select("doc_id", "takes").collect()))

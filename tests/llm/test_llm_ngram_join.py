@@ -132,3 +132,11 @@ def test_sketches_never_rule_out_a_link():
         x, y = (ngram_join._sketch(np.unique(s)).view(np.uint64) for s in (a, b))
         differing = sum(int(w).bit_count() for w in x ^ y)
         assert differing <= len(np.setxor1d(a, b))
+
+
+def test_columns_with_names_of_helpers_stay(documents):
+    text = " ".join(f"w{k}" for k in range(50))
+    pairs = [(1, text), (2, text), (3, text + " more"), (4, "something else than that, of seven words")]
+    docs = documents(pairs).selectExpr("*", "concat('mine', doc_id) as _key", "doc_id as __key")
+    got = ngram_join.one_of_each_group(docs).collect()
+    assert sorted((r["doc_id"], r["_key"], r["__key"]) for r in got) == [(1, "mine1", 1), (4, "mine4", 4)]

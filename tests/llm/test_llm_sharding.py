@@ -85,3 +85,13 @@ def test_the_query_shards_the_texts_themselves(session, documents, tmp_path):
 
     sorted_rows = [n.output().mkString(",") for n in nodes(plan) if n.nodeName() == "Window"]
     assert any("doc_id#" in out and "text#" in out for out in sorted_rows)
+
+
+def test_columns_with_names_of_helpers_stay(documents):
+    names = ("_key", "_own", "_part", "_placed", "_fine", "_first", "_row", "_KEY1")
+    pairs = [(i, f"text {i} " * (i % 30)) for i in range(300)] + [(1000 + i, "much " * 4000) for i in range(4)]
+    docs = documents(pairs).selectExpr("*", *[f"concat('{n}', doc_id) as {n}" for n in names])
+    got = shard_documents(docs, 4)
+    assert got.columns == [c for c in docs.columns if c not in ("size", "shard", "slot")] + ["size", "shard", "slot"]
+    check(got, pairs, 4)
+    assert all(r[n] == f"{n}{r['doc_id']}" for r in got.collect() for n in names)
