@@ -12,8 +12,9 @@ def connected_components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """(node, component) for all nodes of ``edges`` (a, b: numbers, not null); the component is its smallest node.
 
     Alternates two steps until nothing changes: every node's larger neighbours are tied to the
-    smallest node around it, then its smaller neighbours are. Each step takes minima and joins,
-    so a node with very many edges is spread; the rounds grow with the logarithm of the
+    smallest node around it, then its smaller neighbours are. Each step takes minima, in the map tasks
+    first, and joins them back by node: two numbers an edge, and what a node with very many edges
+    has too much for one task is split by the adaptive join. The rounds grow with the logarithm of the
     longest chain. Edges from a node to itself and repeated edges are allowed.
     """
     ends = edges.select(F.col("a").cast("long"), F.col("b").cast("long"))

@@ -42,8 +42,8 @@ from pyspark.sql import functions as F
 
 from perkline.llm import tokens
 from perkline.llm.components import connected_components
-from perkline.llm.shipping import ship_library
 from perkline.llm.names import unused
+from perkline.llm.shipping import ship_library
 from perkline.llm.storage import discard, release_shuffles, stored
 
 MOST_FREQUENT = 200_000  # n-grams whose frequency moves them to the end of the order
@@ -53,6 +53,7 @@ FRAGMENT_BITS = 3
 SKETCH_BITS = 512
 BROADCAST_ROWS = 2_000_000  # of three numbers each
 SHORT_LIST = 8  # lists up to this length are compared before their sketches are looked up
+SPREAD = 32  # pairs with one document from which its side of a join is repeated, once for so many pairs
 
 
 def _prefix_length(n: int, percent: int) -> int:
@@ -225,14 +226,30 @@ def _with_close_sketches(pairs: DataFrame, sketches: DataFrame, percent: int) ->
     )
 
 
+def _spread_over(pairs: DataFrame, right: DataFrame, keys: list[str], spread: int = SPREAD) -> DataFrame:
+    """``pairs`` (a stored table) joined with ``right`` on ``keys``, of which ``b`` is one.
+
+    The first document of a long list is in very many pairs. Its few rows in ``right`` are repeated, and its pairs dealt
+    to the repeats, so that about ``spread`` rows of a document meet in one place.
+    """
+    often = pairs.groupBy("b").agg(F.count("*").alias("n")).where(F.col("n") > spread)
+    often = stored(often.select("b", F.ceil(F.col("n") / spread).cast("int").alias("repeats")), "ngram-often")
+    if often.count() <= BROADCAST_ROWS:
+        often = F.broadcast(often)
+    repeats = F.coalesce("repeats", F.lit(1))
+    dealt = pairs.join(often, "b", "left").withColumn("repeat", F.pmod(F.xxhash64("a"), repeats).cast("int"))
+    repeated = right.join(often, "b", "left").withColumn("repeat", F.explode(F.sequence(F.lit(0), repeats - 1)))
+    return dealt.drop("repeats").join(repeated.drop("repeats"), [*keys, "repeat"]).drop("repeat")
+
+
 def _near_in_first(pairs: DataFrame, first: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` that do not differ too much in the first fragment alone."""
     left, right = (first.select(F.col("node").alias(s), F.col("grams").alias(f"grams_{s}")) for s in "ab")
     common = F.size(F.array_intersect("grams_a", "grams_b"))
     differing = F.size("grams_a") + F.size("grams_b") - 2 * common
     return (
-        pairs.join(left, "a")
-        .join(right, "b")
+        _spread_over(pairs, right, ["b"])
+        .join(left, "a")
         .where(differing * (100 + percent) <= (F.col("na") + F.col("nb")) * (100 - percent))
         .select("a", "b", "na", "nb")
         .distinct()
@@ -243,9 +260,10 @@ def _links(pairs: DataFrame, fragments: DataFrame, percent: int) -> DataFrame:
     """Those of ``pairs`` (a, b, na, nb) that reach the threshold: partial overlaps, summed."""
     left = fragments.select(F.col("node").alias("a"), "fragment", F.col("grams").alias("left_grams"))
     right = fragments.select(F.col("node").alias("b"), "fragment", F.col("grams").alias("right_grams"))
+    each = pairs.select("*", F.explode(F.sequence(F.lit(0), F.lit((1 << FRAGMENT_BITS) - 1))).alias("fragment"))
     partial = (
-        pairs.join(left, "a")
-        .join(right, ["b", "fragment"])
+        _spread_over(each, right, ["b", "fragment"], SPREAD << FRAGMENT_BITS)
+        .join(left, ["a", "fragment"])
         .select("a", "b", "na", "nb", "fragment", F.size(F.array_intersect("left_grams", "right_grams")).alias("common"))
     )
     # Repeated rows of a document repeat its fragments: the largest of equal counts is one of them.
