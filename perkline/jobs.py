@@ -36,8 +36,10 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from perkline import fixed_values as fixed
+from perkline.operators import distincts
 from perkline.operators.checks import QualityError, all_checks, enforce, require_unique, verdict
 from perkline.operators.comparing import against_expected, expected_metrics, metric_rows, volumes
+from perkline.operators.frequent import top_values
 from perkline.operators.merging import (
     delete_catalog,
     delete_published,
@@ -172,13 +174,15 @@ def job(name: str):
 
 @job("audit-files")
 def audit_files(run: Context) -> DataFrame:
-    """Counts; the missing ids and the frequency tables are results of their own."""
+    """Counts; the missing ids, the frequency tables and the most frequent values of all columns are results of their own."""
     staff, sport = run.read("hr_file"), run.read("sport_file")
     run.keep("missing-ids", people.missing_ids(staff, sport, "ID salarié"))
     tables = people.frequency_table(staff, fixed.AUDITED_HR_COLUMNS, "left").unionByName(
         people.frequency_table(sport, fixed.AUDITED_SPORT_COLUMNS, "right")
     )
     run.keep("frequencies", tables)
+    run.keep("top-values-left", top_values(staff, staff.columns))
+    run.keep("top-values-right", top_values(sport, sport.columns))
     return people.audit(staff, sport, "ID salarié")
 
 
@@ -240,16 +244,31 @@ def check_sports(run: Context) -> DataFrame:
     return missing
 
 
+SKETCHED = ["activity_id", "employee_id", "sport_type"]
+
+
 @job("load-activities")
 def load_activities(run: Context) -> DataFrame:
-    """Replace the history by ``new_activities`` if no essential rule is broken."""
+    """Replace the history by ``new_activities`` if no essential rule is broken.
+
+    If ``distinct_sketches`` is a table, sketches of the load's different values are added to it."""
     run.needs("source_activities", *UPDATABLE)
     new = run.read("new_activities")
     enforce(quality.load_gate(new, run.as_of), "load of activities")
     run.replace("source_activities", new)
+    if "distinct_sketches" in run.settings["tables"]:
+        loaded_at = F.lit(dt.datetime.now(dt.UTC).isoformat(sep=" ", timespec="microseconds")[:26])
+        run.append("distinct_sketches", distincts.distinct_sketches(run.read("source_activities"), SKETCHED, loaded_at))
     return quality.load_summary(run.read("source_activities"))
 
 
+@job("distinct-history")
+def distinct_values(run: Context) -> DataFrame:
+    """Different activities, employees and sports of every load and of all loads up to it, from the sketches that
+    ``load-activities`` keeps if ``distinct_sketches`` is a table; no load is read again."""
+    return distincts.distinct_history(run.read("distinct_sketches"))
+
+
 @job("check-source")
 def check_source(run: Context) -> DataFrame:
     """Counters; the period covered and the counts per sport and per month are results of their own."""

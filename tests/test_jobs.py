@@ -45,7 +45,7 @@ def run(spark, place):
     (place / "hr.csv").write_text(HR, encoding="utf-8")
     (place / "sport.csv").write_text(SPORT, encoding="utf-8")
     published = ("employees", "sport_profile", "commute_validation", "source_activities", "activities", "employee_benefits")
-    files = ("commute_distances", "new_activities", "doomed_activities", "data_quality_metrics", "notifications", "unknown_people")
+    files = ("commute_distances", "new_activities", "doomed_activities", "data_quality_metrics", "distinct_sketches", "notifications", "unknown_people")
     settings = {
         "tables": {
             **{n: {"kind": "published", "path": f"{place}/{n}"} for n in published},
@@ -63,8 +63,10 @@ def run(spark, place):
     return jobs.Context(spark, settings, AS_OF)
 
 
-def test_people(run):
+def test_people(spark, run, place):
     assert run.spark and jobs.JOBS["audit-files"](run).count() > 10
+    top = spark.read.csv(f"{place}/results/top-values-left", header=True)
+    assert {r["column_name"] for r in top.collect()} == set(run.read("hr_file").columns)
     for _ in range(2):  # may be repeated
         report = jobs.JOBS["ingest-people"](run)
         assert {r["value"] for r in report.collect()} == {0}
@@ -96,6 +98,8 @@ def test_activities(spark, run, place):
     tables.write_table(activities(spark, 16), f"{place}/new_activities")
     assert jobs.JOBS["load-activities"](run).first()["total_activities"] == 16
     assert jobs.JOBS["load-activities"](run).first()["total_activities"] == 16  # replaced, not added
+    history = jobs.JOBS["distinct-history"](run).filter("column_name = 'activity_id'").orderBy("load").collect()
+    assert [(r["distinct_values"], r["value_rows_so_far"], r["distinct_so_far"]) for r in history] == [(16, 16, 16), (16, 32, 16)]
     blocking = jobs.JOBS["check-source"](run).filter("blocking AND value > 0")
     assert blocking.count() == 0
 

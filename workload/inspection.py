@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 
 from perkline import fixed_values as fixed
 from perkline.functions.periods import in_window
+from perkline.operators import distincts
 from perkline.operators.checks import key_measures, split_by_checks, verdict
+from perkline.operators.frequent import top_values
 from perkline.operators.matching import (
     differing_value,
     key_differences,
@@ -499,6 +501,49 @@ def _(spark, sf_dir):
     return column_profile(roles.recorded(spark, sf_dir))
 
 
+def _top_values(table: str, columns: str) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, rank::INT AS rank, value, row_count FROM (
+  SELECT {c}::VARCHAR AS value, count(*) AS row_count,
+         row_number() OVER (ORDER BY count(*) DESC, {c}::VARCHAR NULLS FIRST) AS rank FROM {table} GROUP BY {c})
+WHERE rank <= 20"""
+        for c in columns.split()
+    )
+
+
+@query("top_values", (), _top_values("lineitem", "l_partkey l_orderkey l_suppkey l_returnflag"))
+def _(spark, sf_dir):
+    return top_values(roles.table(spark, sf_dir, "lineitem"), ["l_partkey", "l_orderkey", "l_suppkey", "l_returnflag"])
+
+
+@query("file_top_values", (), _top_values("documents", "text source lang"))
+def _(spark, sf_dir):
+    return top_values(roles.table(spark, sf_dir, "documents"), ["text", "source", "lang"])
+
+
+_DISTINCTS = " UNION ALL ".join(
+    f"""
+SELECT load, '{c}' AS column_name, value_rows, distinct_values,
+       (sum(value_rows) OVER (ORDER BY load))::BIGINT AS value_rows_so_far,
+       (sum(coalesce(new_values, 0)) OVER (ORDER BY load))::BIGINT AS distinct_so_far, TRUE AS within_error
+FROM (SELECT ts::DATE AS load, count({c}) AS value_rows, count(DISTINCT {c}) AS distinct_values FROM events GROUP BY ALL)
+LEFT JOIN (SELECT load, count(*) AS new_values FROM (SELECT min(ts::DATE) AS load FROM events WHERE {c} IS NOT NULL GROUP BY {c}) GROUP BY load) USING (load)"""
+    for c in ("user_id", "event_type", "props")
+)
+
+
+@query("distinct_history", (), _DISTINCTS)
+def _(spark, sf_dir):
+    # A load per day. The estimates come from stored sketches; exact numbers judge them.
+    events, columns, day = roles.table(spark, sf_dir, "events"), ["user_id", "event_type", "props"], F.to_date("ts")
+    path = shared_dir(spark, "sketches")
+    distincts.distinct_sketches(events, columns, day).write.parquet(path)
+    judged = distincts.judged(
+        distincts.distinct_history(spark.read.parquet(path)), distincts.exact_distinct_history(events, columns, day)
+    )
+    return judged.drop("estimated_values", "estimated_so_far")
+
+
 @query("table_shape", (), "SELECT count(*) AS row_count, 11 AS column_count FROM lineitem")
 def _(spark, sf_dir):
     return shape(roles.table(spark, sf_dir, "lineitem"))
