@@ -48,18 +48,26 @@ def write_delimited(df: DataFrame, path: str) -> None:
 def write_report(df: DataFrame, folder: str, name: str, single_file: bool = False) -> str:
     """The part files of ``folder/name``, or one file ``folder/name.csv`` if the caller says so.
 
-    A single file is written by a single task, so it is for results known to be small.
-    Only one of the two forms is there afterwards. Returns the path written.
+    The rows of a single file are written by all tasks as parts without header, then joined in the order of the parts
+    by the file system: it puts their blocks together where it can (HDFS), else their bytes are copied one part after
+    the other. The file appears whole, under its name at once. Only one of the two forms is there afterwards.
+    Returns the path written.
     """
     parts, one = f"{folder}/{name}", f"{folder}/{name}.csv"
+    spark = df.sparkSession
     if not single_file:
         write_delimited(df, parts)
-        _remove(df.sparkSession, one)
+        _remove(spark, one)
         return parts
     hidden = f"{folder}/.{name}-parts"
-    write_delimited(df.coalesce(1), hidden)
-    _move_only_part(df.sparkSession, hidden, one)
-    _remove(df.sparkSession, parts)
+    df.write.mode("overwrite").options(header="false", encoding="UTF-8").csv(f"{hidden}/rows")
+    # A row like others, so that names are quoted as values are.
+    names = StructType([StructField(f"c{i}", StringType()) for i in range(len(df.columns))])
+    header = spark.createDataFrame([tuple(df.columns)], names).coalesce(1)
+    header.write.mode("overwrite").options(header="false", encoding="UTF-8").csv(f"{hidden}/header")
+    _join_parts(spark, [f"{hidden}/header", f"{hidden}/rows"], f"{hidden}/joined", one)
+    _remove(spark, hidden)
+    _remove(spark, parts)
     return one
 
 
@@ -68,16 +76,39 @@ def _remove(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
 
 
-def _move_only_part(spark: SparkSession, parts: str, target: str) -> None:
+def _join_parts(spark: SparkSession, folders: Sequence[str], joined: str, target: str) -> None:
+    """The part files of ``folders``, in order, as the file ``target``; ``joined`` is a name for it while it is made."""
     # The cluster's own file system interface, so that shared storage works too.
-    jvm = spark.sparkContext._jvm
+    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     path = jvm.org.apache.hadoop.fs.Path
-    source, destination = path(parts), path(target)
-    fs = source.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    found = fs.globStatus(path(f"{parts}/part-*.csv"))
-    if len(found) != 1:
-        raise RuntimeError(f"expected one part file in {parts}, found {len(found)}")
-    fs.delete(destination, False)
-    if not fs.rename(found[0].getPath(), destination):
+    fs = path(target).getFileSystem(conf)
+    files = []
+    for folder in folders:
+        found = [s for s in fs.listStatus(path(folder)) if s.getPath().getName().startswith("part-") and s.getLen() > 0]
+        files += [s.getPath() for s in sorted(found, key=lambda s: s.getPath().getName())]
+    first, rest = files[0], files[1:]
+    if rest and _can_concat(fs, jvm, first):
+        sources = spark.sparkContext._gateway.new_array(path, len(rest))
+        for i, file in enumerate(rest):
+            sources[i] = file
+        fs.concat(first, sources)
+        made = first
+    else:
+        made = path(joined)
+        out = fs.create(made, True)
+        try:
+            for file in files:
+                part = fs.open(file)
+                try:
+                    jvm.org.apache.hadoop.io.IOUtils.copyBytes(part, out, 1 << 20, False)
+                finally:
+                    part.close()
+        finally:
+            out.close()
+    fs.delete(path(target), False)
+    if not fs.rename(made, path(target)):
         raise RuntimeError(f"could not move the report to {target}")
-    fs.delete(source, True)
+
+
+def _can_concat(fs, jvm, file) -> bool:
+    return fs.hasPathCapability(file, jvm.org.apache.hadoop.fs.CommonPathCapabilities.FS_CONCAT)

@@ -90,6 +90,32 @@ def test_the_form_of_a_report_does_not_depend_on_its_rows_and_is_there_once(spar
             assert spark.read.csv(path, header=True).count() == rows_written
 
 
+def test_one_file_is_byte_equal_to_that_of_one_task(spark, folder):
+    df = spark.range(3_000, numPartitions=7).select(
+        F.col("id").alias("an, id"), F.when(F.col("id") % 5 > 0, F.concat(F.lit('é "q", '), F.col("id"))).alias("text"), F.lit("").alias("empty")
+    )
+    one = files.write_report(df.filter("`an, id` >= 900"), folder, "all", single_file=True)  # the first parts are empty
+    files.write_delimited(df.filter("`an, id` >= 900").coalesce(1), f"{folder}/whole")
+    (whole,) = [f for f in os.listdir(f"{folder}/whole") if f.startswith("part-")]
+    with open(one, "rb") as mine, open(f"{folder}/whole/{whole}", "rb") as other:
+        assert mine.read() == other.read()
+    back = files.read_delimited(spark, one).collect()
+    assert [int(r["an, id"]) for r in back] == list(range(900, 3_000))
+
+
+def test_one_file_of_no_rows_has_its_header(spark, folder):
+    one = files.write_report(spark.range(0).withColumn("name", F.lit("x")), folder, "none", single_file=True)
+    with open(one, encoding="utf-8") as file:
+        assert file.read() == "id,name\n"
+
+
+def test_rows_of_one_file_are_written_by_all_tasks(spark, folder, monkeypatch):
+    joined = []
+    monkeypatch.setattr(files, "_join_parts", lambda s, folders, *_: joined.extend(os.listdir(folders[1])))
+    files.write_report(spark.range(100, numPartitions=4), folder, "ids", single_file=True)
+    assert len([f for f in joined if f.startswith("part-")]) == 4
+
+
 def test_export_is_gated(spark, folder):
     benefits = spark.createDataFrame(
         [tuple([1] + [None] * 15)], ", ".join(f"{c} int" for c in schemas.BENEFIT_COLUMNS)
