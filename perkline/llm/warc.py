@@ -5,8 +5,10 @@ bytes, so equal input gives equal shards. Every shard is sorted and written by o
 of files, a new one as soon as the compressed size reaches ``roll_bytes``. Each record is a gzip
 member of its own. A file is written under a temporary name that no other attempt uses and then
 renamed; its bytes depend on its records only, so a repeated task replaces a file by an equal one.
-The manifest, a table of the finished files, commits the archive: readers take the
-files that it names and no others.
+The manifest commits the archive: a table of the finished files in the archive's own folder, likewise
+written under a temporary name and renamed last. Readers take the files that it names and no others; a
+folder without manifest is an unfinished archive. After the commit the files of broken attempts are removed with the folder
+of temporary names, so one folder has one writer at a time. A folder with a manifest is refused, not written over.
 
 Of records with equal payloads of at least ``MIN_REVISIT`` bytes, the one with the largest id holds
 the payload, the others are revisits of it. Who revisits whom is found from digests alone;
@@ -14,7 +16,9 @@ those rows travel next to the records in the one exchange that moves payloads.
 
 Defined cases: a null html is an empty payload; a null url has no target; a record without id
 comes first and can only be a revisit or unique; records with the largest id in common are all
-responses; repeated rows are written as often as they occur; no rows give no files.
+responses; repeated rows are written as often as they occur; no rows give no files but a manifest without lines. A very
+long payload is one record, packed in pieces; its task holds it a few times. Rows of one id are ordered by digest and
+url, so ties give the same bytes in every run. Other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -29,7 +33,7 @@ from urllib.parse import quote, unquote
 
 import pyarrow as pa
 from pyarrow import fs
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from perkline.llm.sharding import splitters
@@ -42,6 +46,7 @@ PRINTABLE = "".join(map(chr, range(0x21, 0x7F))).replace("%", "")
 RECORD_FRAME = 512  # bytes of headers, about
 REVISIT_PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 MANIFEST = "shard int, part int, file string, records long, bytes long, sha256 string"
+MANIFEST_NAME, TEMPORARY = "manifest", "_temporary"  # folders inside the archive
 RECORD = "page_id long, url string, record_type string, payload_bytes long, payload_digest string, refers_to long"
 
 
@@ -104,7 +109,7 @@ class _Files:
             self.shard, self.part = shard, 0
         if self.out is None:
             self.name = f"shard-{shard:06d}-{self.part:05d}.warc.gz"
-            self.temporary = f"{self.path}/.{uuid.uuid4().hex}-{self.name}"
+            self.temporary = f"{self.path}/{TEMPORARY}/{uuid.uuid4().hex}-{self.name}"
             self.out = self.fs.open_output_stream(self.temporary, compression=None)
             self.records, self.size, self.digest = 0, 0, hashlib.sha256()
         member = _zipped(record)
@@ -166,7 +171,7 @@ def write_archives(
         "record", F.col("refers_to").isNull()
     )
     # A notice that a record revisits stands right before the record.
-    exchanged = rows.repartitionByRange(n_shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "record", "url")
+    exchanged = rows.repartitionById(n_shards, "shard").sortWithinPartitions("shard", "page_id", "digest", "record", "url")
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         files = _Files(folder, roll_bytes)
@@ -189,8 +194,24 @@ def write_archives(
         yield pa.record_batch([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
     files, path = _filesystem(folder)
-    files.create_dir(path, recursive=True)
-    return stored(exchanged.mapInArrow(work, MANIFEST), "warc-manifest")
+    files.create_dir(f"{path}/{TEMPORARY}", recursive=True)
+    if files.get_file_info(f"{path}/{MANIFEST_NAME}").type != fs.FileType.NotFound:
+        raise FileExistsError(f"{folder} holds a finished archive")
+    written = stored(exchanged.mapInArrow(work, MANIFEST), "warc-files")
+    _commit(written, folder, files, path)
+    return read_manifest(pages.sparkSession, folder)
+
+
+def _commit(written: DataFrame, folder: str, files: fs.FileSystem, path: str) -> None:
+    name = f"{TEMPORARY}/{uuid.uuid4().hex}-{MANIFEST_NAME}"
+    written.write.json(f"{folder}/{name}")
+    files.move(f"{path}/{name}", f"{path}/{MANIFEST_NAME}")
+    files.delete_dir(f"{path}/{TEMPORARY}")
+
+
+def read_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """The files of a finished archive, as ``MANIFEST``; raises if it has no manifest."""
+    return spark.read.schema(MANIFEST).json(f"{folder}/{MANIFEST_NAME}")
 
 
 _LENGTH = re.compile(rb"(?mi)^Content-Length: *(\d+)")

@@ -2,12 +2,15 @@ from __future__ import annotations
 
 import gzip
 import hashlib
+import re
 from pathlib import Path
 
 import pytest
 
 from perkline.llm import warc
 
+warc_stored = warc.stored
+
 SCHEMA = "page_id long, url string, html string, digest string, shard int"
 
 
@@ -48,7 +51,10 @@ def test_round_trip(session, folder, pages):
         data = Path(folder, r["file"]).read_bytes()
         assert (len(data), hashlib.sha256(data).hexdigest()) == (r["bytes"], r["sha256"])
         assert gzip.decompress(data).count(b"WARC/1.1\r\n") == r["records"]
-    assert not list(Path(folder).glob(".*warc.gz"))
+    assert sorted(p.name for p in Path(folder).iterdir() if "shard-" not in p.name and not p.name.startswith(".")) == ["manifest"]
+    # The folder alone is enough to read the archive.
+    alone = warc.read_archives(warc.read_manifest(session, folder), folder)
+    assert sorted((tuple(r) for r in alone.collect()), key=repr) == brute(pages)
 
 
 def test_same_bytes_from_rows_in_any_order(session, tmp_path, pages):
@@ -67,6 +73,28 @@ def test_files_that_the_manifest_does_not_name_are_ignored(session, folder, page
     assert warc.read_archives(manifest, folder).count() == 20
 
 
+def test_files_of_a_broken_attempt_go_with_the_commit(session, folder, pages):
+    broken = Path(folder, warc.TEMPORARY, "0" * 32 + "-shard-000000-00000.warc.gz")
+    broken.parent.mkdir()
+    broken.write_bytes(b"half a file")
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        warc.read_manifest(session, folder).count()  # unfinished
+    warc.write_archives(build(session, pages[:20]), folder)
+    assert not broken.parent.exists() and warc.read_manifest(session, folder).count() == 1
+    with pytest.raises(FileExistsError):
+        warc.write_archives(build(session, pages[:20]), folder)
+
+
+def test_a_shard_is_written_by_a_task_of_its_own(session, folder, pages, monkeypatch):
+    taken = []
+    monkeypatch.setattr(warc, "stored", lambda df, purpose: taken.append(df) or warc_stored(df, purpose))
+    manifest = warc.write_archives(build(session, pages), folder, shard_bytes=200_000, roll_bytes=4_000)
+    plan = taken[-1]._jdf.queryExecution().executedPlan().toString()
+    shards = {r["shard"] for r in manifest.collect()}
+    assert re.search(r"Exchange \w*passthrough\w*\(", plan, re.I), re.findall("Exchange.*", plan)
+    assert len(shards) > 2
+
+
 def test_damage_is_noticed(session, folder, pages):
     manifest = warc.write_archives(build(session, pages[:20]), folder)
     path = next(Path(folder).glob("shard*"))
