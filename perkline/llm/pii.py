@@ -22,7 +22,10 @@ emails, an at sign between letters) and does not touch a seed. Neighbouring toke
 dots and hyphens, are one unknown string if they have the digits of a card or phone number together; for
 that kind they are then none by themselves. Ordinary words are never candidates.
 
-Defined cases: a null text is empty; no seeds give no patterns and so no further spans; a token
+A context with S different seeds and more than about 2.8 S - 8 different unknown strings is not accepted, as plain numbers
+behind a common word look the same; its strings are found only if other contexts vouch for them.
+
+Defined cases: a null text is empty; a very long text is read whole, by one task; no seeds give no patterns and so no further spans; a token
 that fits several kinds gets the best one, the first kind listed of equals; repeated texts count as
 one document and all get the spans; columns other than doc_id and text are ignored.
 """
@@ -218,8 +221,14 @@ def _bootstrapped(contexts: DataFrame, everywhere: bool) -> DataFrame:
         .where((F.col("texts") >= MIN_DOCUMENTS) & ~F.col("only_seeds"))
     )
     known = edges.where("seed").select("instance", "of").distinct().withColumn("known", F.lit(1.0))
+    # Whether accepted strings of a pattern stand in MIN_DOCUMENTS texts is seen from that many texts of each string:
+    # a string that has them all kept counts them all, one that has more is enough alone. So rounds join
+    # different strings, however many texts hold them.
+    kept = F.dense_rank().over(Window.partitionBy("pattern", "of", "instance").orderBy("text")) <= MIN_DOCUMENTS
     graph = stored(
-        edges.join(useful.select("pattern", "of"), ["pattern", "of"], "left_semi").join(known, ["instance", "of"], "left"),
+        edges.join(useful.select("pattern", "of"), ["pattern", "of"], "left_semi")
+        .withColumn("kept", kept).where("kept").select("pattern", "of", "instance", "text").distinct()
+        .join(known, ["instance", "of"], "left"),
         "pii-graph",
     )
     # What a pattern surrounds: the strings that fit the kind, and the seeds of other kinds.

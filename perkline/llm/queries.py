@@ -229,6 +229,7 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
         *[count(kind).alias(f"n_{kind}") for kind in pii.KINDS],
         F.sha2(pii.spans_text(F.col("base")), 256).alias("base_sha256"),
         pii.spans_text(F.col("found")).alias("spans"),
+        F.size("found").cast("long").alias("n_spans"),
     )
 
 

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import random
 import re
 
+import pytest
+
 from perkline.llm import pii
 
 
@@ -99,6 +102,64 @@ def test_numbers_written_with_spaces_are_found_whole(documents):
     assert got[301] == [("card", "4111 1111 1111 1112")]
 
 
+def planted(ratio: float, seeds: int = 12):
+    """Texts with unseen identifiers, ``ratio`` per seed, behind contexts of their own, among decoys; and the places."""
+    pick, pairs, places = random.Random(int(ratio * 10)), [], set()
+    word = lambda: "".join(pick.choices("abcdefghij", k=7))
+    seed = {
+        "email": lambda i: f"p{i}.{word()}@mail{i}.example.com",
+        "phone": lambda i: f"+1 (555) 010-{1000 + i}",
+        "ip": lambda i: f"10.{i % 250}.0.{i % 200}",
+    }
+    unseen = {
+        "email": lambda i: f"{word()}{i}(at)mail-{word()}.org",
+        "phone": lambda i: f"030 {200 + i % 700} {1000 + i}",
+        "ip": lambda i: f"2001:{1000 + i}:{i % 9}:17",
+    }
+    n = 0
+    for kind in seed:
+        for context in ("{w} {k}from{r}: {x} {v} more", "{w} {x} is{k}{r} so {v}", "{w} the{k}{r} {x} end{k}{r} {v}"):
+            context = context.replace("{k}", kind).replace("{r}", str(ratio).replace(".", "x"))
+            for i in range(round(seeds * (1 + ratio))):
+                n += 1
+                x = (seed if i < seeds else unseen)[kind](n)
+                text = context.format(w=f"{word()} {word()}", v=word(), x=x)
+                pairs.append((n, text))
+                if i >= seeds:
+                    places.add((n, kind, x))
+    for i in range(200):  # plain numbers, and a word that stands before a few seeds and many of them
+        pairs.append((10_000 + i, f"{word()} ordered {100000 + i} pieces {word()}"))
+        pairs.append((20_000 + i, f"{word()} ref {f'+1 (555) 020-{1000 + i}' if i < 8 else f'{3000 + i}-{77000 + i}'} {word()}"))
+    return pairs, places
+
+
+@pytest.mark.parametrize("ratio, seeds", [(0.5, 12), (1, 12), (1.5, 12), (2, 40)])
+def test_recall_and_precision_on_planted_identifiers(documents, ratio, seeds):
+    pairs, places = planted(ratio, seeds)
+    got = spans(documents, pairs, everywhere=True)
+    base = {d: len(pii.base_spans(t)) for d, t in pairs}
+    found = {(d, k, x) for d, ks in got.items() for k, x in ks if not base[d]}
+    print(f"{seeds} seeds, {ratio}: recall {len(found & places) / len(places)}, precision {len(found & places) / len(found)}")
+    assert len(found & places) >= 0.9 * len(places), (len(found & places), len(places))
+    assert len(found & places) >= 0.9 * len(found), sorted(found - places)[:20]
+
+
+def test_a_context_of_mostly_unknown_strings_is_not_accepted(documents):
+    pairs, places = planted(5)
+    got = spans(documents, pairs, everywhere=True)
+    assert not any((d, k, x) in places for d, ks in got.items() for k, x in ks)
+
+
+def test_rounds_hold_few_rows_of_a_string_in_many_texts(documents, monkeypatch):
+    stored, graphs = pii.stored, []
+    monkeypatch.setattr(pii, "stored", lambda df, purpose: [t := stored(df, purpose), graphs.append(t) if purpose == "pii-graph" else 0][0])
+    pairs = [(i, f"Text number {i} kind. Contact: person{i}@mail{i}.example.com for more.") for i in range(10)]
+    pairs += [(100 + i, f"Words {i} first. Contact: anna(at)mail-example.com for more.") for i in range(300)]
+    got = spans(documents, pairs)
+    assert all(got[100 + i] == [("email", "anna(at)mail-example.com")] for i in range(300))
+    assert graphs[0].groupBy("pattern", "of", "instance").count().agg({"count": "max"}).first()[0] == pii.MIN_DOCUMENTS
+
+
 def test_odd_rows(documents, odd_texts):
     out = pii.find_personal_data(documents(odd_texts)).collect()
     assert len(out) == len(odd_texts) and all(r["base"] == [] and r["found"] == [] for r in out)
