@@ -15,7 +15,8 @@ only if they are small.
 
 Defined cases: null texts have no words; documents without id, repeated ids and repeated rows
 are judged each by its own text; items without words match nothing; items with null id take
-part in hits, but are not named; an empty benchmark hits nothing.
+part in hits, but are not named; an empty benchmark hits nothing. A very long text takes time in proportion to its words, in
+one task. Of k-grams with equal hashes in a window the rightmost counts; other columns are ignored, whatever their names.
 """
 
 from __future__ import annotations
@@ -83,24 +84,19 @@ def _fingerprints(texts: DataFrame, span: int, gram: int, short_lengths: list[in
     _, before_at = choice(names[:-1])
     fits = F.col("start") + span <= F.col("n_words")
     fresh = (F.col("start") == 0) | (now_at != before_at - 1)
-    prints = [
-        F.when(
-            (F.col("start") >= 0) & fits & fresh,
-            F.struct((F.col("start") + now_at).alias("at"), F.lit(span).alias("length"), now.alias("print")),
-        ),
-        F.when(
-            F.col("start") < 0,
-            F.struct(F.lit(-1).alias("at"), F.lit(0).alias("length"), F.lit(0).cast("long").alias("print")),
-        ),
-    ] + [
-        F.when(
-            (F.col("start") >= 0) & (F.col("start") + n <= F.col("n_words")),
-            F.struct(F.col("start").alias("at"), F.lit(n).alias("length"), F.col(f"short{n}").alias("print")),
-        )
-        for n in short_lengths
-    ]
-    rows = rows.select(*kept, F.explode(F.array_compact(F.array(*prints))).alias("p"))
-    return rows.select(*kept, "p.at", "p.length", "p.print")
+    # One column per length of span, then one row per column that holds a print.
+    prints = {
+        "0": F.when(F.col("start") < 0, F.lit(0).cast("long")),
+        str(span): F.when((F.col("start") >= 0) & fits & fresh, now),
+    }
+    for n in short_lengths:
+        prints[str(n)] = F.when((F.col("start") >= 0) & (F.col("start") + n <= F.col("n_words")), F.col(f"short{n}"))
+    at = F.when(F.col("start") < 0, -1).otherwise(F.col("start"))
+    rows = rows.select(*kept, at.alias("at"), now_at.alias("offset"), *[p.alias(n) for n, p in prints.items()])
+    rows = rows.unpivot([*kept, "at", "offset"], list(prints), "length", "print").where(F.col("print").isNotNull())
+    length = F.col("length").cast("int")
+    at = F.when(length == span, F.col("at") + F.col("offset")).otherwise(F.col("at"))
+    return rows.select(*kept, at.alias("at"), length.alias("length"), "print")
 
 
 def contaminated_spans(docs: DataFrame, benchmark: DataFrame, span: int = SPAN, gram: int = GRAM) -> tuple[DataFrame, DataFrame]:
