@@ -14,7 +14,9 @@ the models need not fit anywhere.
 
 Defined cases: null, or without ``://``: empty host and path, no rule, and the models judge the
 text as it is; without rule-decided URLs of both kinds everything without a rule is allowed; rows
-without id and repeated rows are judged by their URL; an empty table gives an empty result.
+without id and repeated rows are judged by their URL; an empty table gives an empty result. A very long URL is a row per
+character like others; of equally good thresholds the one nearest to 0 counts; columns of ``pages`` with the names of
+results give way to these, others stay.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from perkline.llm.decontamination import LOWER, UPPER
+from perkline.llm.names import unused
 from perkline.llm.storage import stored
 
 RULES = (
@@ -36,6 +39,7 @@ ORDER = 4
 TRUST = 4.0  # observations of a context that weigh as much as all shorter contexts together
 ALPHABET = 256.0
 BEGIN, END = "\x02", "\x03"
+HOT = 10_000  # windows that make up this part of all are joined apart
 FOLDS = 5  # one of them calibrates
 STEP = 0.02  # of thresholds
 
@@ -84,7 +88,8 @@ def _differences(counts: DataFrame) -> DataFrame:
             sums = counts.groupBy(key.alias("_key")).agg(
                 F.sum("allowed").alias(f"_allowed_{part}"), F.sum("blocked").alias(f"_blocked_{part}")
             )
-            table = table.withColumn("_key", key).join(sums, "_key").drop("_key")
+            # There are no more keys of at most one character than characters.
+            table = table.withColumn("_key", key).join(F.broadcast(sums) if length <= 1 else sums, "_key").drop("_key")
         for kind in probability:
             seen, context = F.col(f"_{kind}_gram"), F.col(f"_{kind}_context")
             table = table.withColumn(f"_p_{kind}", (seen + TRUST * probability[kind]) / (context + TRUST))
@@ -93,6 +98,21 @@ def _differences(counts: DataFrame) -> DataFrame:
     return table.select("window", (F.log(probability["allowed"]) - F.log(probability["blocked"])).alias("difference"))
 
 
+def _scores(windows: DataFrame, differences: DataFrame, counts: DataFrame) -> DataFrame:
+    """(_url, score): the mean difference of the windows of each URL.
+
+    The beginnings of addresses stand in nearly all of them. A window that makes up a 1 / ``HOT`` of all is one of at
+    most ``HOT``, so these are sent around; no other is frequent enough to be too much for the task that joins it.
+    """
+    total = counts.agg(F.sum("seen")).first()[0] or 0
+    hot = F.broadcast(counts.where(F.col("seen") * HOT >= total).select("window"))
+    frequent = windows.join(F.broadcast(differences.join(hot, "window", "left_semi")), "window")
+    others = windows.join(hot, "window", "left_anti").join(differences.join(hot, "window", "left_anti"), "window")
+    # Each part is summed per URL before they meet.
+    sums = [part.groupBy("_url").agg(F.sum("difference").alias("sum"), F.count("*").alias("n")) for part in (frequent, others)]
+    return sums[0].unionByName(sums[1]).groupBy("_url").agg((F.sum("sum") / F.sum("n")).alias("score"))
+
+
 def _threshold(calibrating: DataFrame) -> float:
     """The one that parts the two kinds (ruled, score) best, both weighing the same; of equals, nearest to 0."""
     step = F.floor(F.col("score") / STEP)
@@ -113,28 +133,31 @@ def _threshold(calibrating: DataFrame) -> float:
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     """Adds host, path, rule, score (log-likelihood difference per character) and verdict to ``pages`` (url)."""
-    columns = [c for c in pages.columns if c not in ("host", "path", "rule", "ruled", "score", "verdict")]
-    judged = apply_rules(pages.select(columns), rules).withColumn("_url", F.xxhash64("url"))
+    columns = [c for c in pages.columns if c not in ("host", "path", "rule", "score", "verdict")]
+    # Own columns of pages may have the names used here.
+    key, ruled = unused(pages.columns, "_url", "_ruled")
+    others = [F.col(f"`{c}`").alias(ruled if c == "ruled" else c) for c in columns]
+    judged = apply_rules(pages.select(*others), rules).withColumn(key, F.xxhash64("url"))
     urls = stored(
-        judged.groupBy("_url").agg(F.first("url").alias("url"), F.first("ruled").alias("ruled"), F.count("*").alias("rows")),
+        judged.groupBy(F.col(f"`{key}`").alias("_url")).agg(
+            F.first("url").alias("url"), F.first("ruled").alias("ruled"), F.count("*").alias("rows")
+        ),
         "urls",
     )
     fold = F.pmod(F.col("_url"), F.lit(FOLDS))
     learn = urls.where(F.col("ruled").isNotNull() & (fold != 0)).select("url", "ruled", "rows")
     counts = _windows(urls.select("url").withColumn("ruled", F.lit(None).cast("string")).withColumn("rows", F.lit(0)).unionByName(learn))
     counts = counts.groupBy("window").agg(
+        F.count("*").alias("seen"),
         *[F.sum(F.when(F.col("ruled") == k, F.col("rows")).otherwise(0)).alias(n) for k, n in (("allow", "allowed"), ("block", "blocked"))]
     )
-    differences = stored(_differences(stored(counts, "url-windows")), "url-model")
-    scores = (
-        _windows(urls.select("_url", "url"))
-        .join(differences, "window")
-        .groupBy("_url")
-        .agg(F.avg("difference").alias("score"))
-    )
-    scores = stored(scores, "url-scores")
+    counts = stored(counts, "url-windows")
+    differences = stored(_differences(counts.drop("seen")), "url-model")
+    scores = stored(_scores(_windows(urls.select("_url", "url")), differences, counts), "url-scores")
     threshold = _threshold(urls.where(F.col("ruled").isNotNull() & (fold == 0)).join(scores, "_url").select("ruled", "score"))
     by_model = F.when(F.col("score") >= threshold, "allow").otherwise("block")
-    return judged.join(scores, "_url").select(
-        *columns, "host", "path", "rule", "score", F.coalesce("ruled", by_model).alias("verdict")
-    )
+    judged = judged.withColumn("verdict", F.col("ruled")).join(scores.withColumnRenamed("_url", key), key)
+    return judged.select(
+        *[F.col(f"`{ruled if c == 'ruled' else c}`").alias(c) for c in columns],
+        "host", "path", "rule", "score", F.coalesce("verdict", by_model).alias("verdict"),
+    )

@@ -87,6 +87,24 @@ def test_scores_equal_brute_force_and_sort_the_rest(session, web):
     assert all(got[u]["verdict"] == ("allow" if "good" in u else "block") for u in web)
 
 
+@pytest.mark.parametrize("hot", [1, 30, 10**9])
+def test_frequent_windows_joined_apart_change_no_score(session, web, monkeypatch, hot):
+    df = session.createDataFrame(list(enumerate(web)), "page_id long, url string").repartition(4)
+    want = {r["page_id"]: (r["score"], r["verdict"]) for r in urls.judge_urls(df).collect()}
+    monkeypatch.setattr(urls, "HOT", hot)  # none, some and all of them
+    got = {r["page_id"]: r for r in urls.judge_urls(df).collect()}
+    assert got.keys() == want.keys()
+    assert all((pytest.approx(score, abs=1e-9), verdict) == (got[i]["score"], got[i]["verdict"]) for i, (score, verdict) in want.items())
+
+
+def test_own_columns_stay(session, web):
+    names = ["_url", "_ruled", "ruled", "window", "difference", "_key", "_text", "_at", "rows", "seen", "a.b"]
+    df = session.createDataFrame([(u, *names) for u in web], ["url", *names])
+    got = urls.judge_urls(df).collect()
+    assert len(got) == len(web) and all([r[n] for n in names] == names for r in got)
+    assert {r["verdict"] for r in got} == {"allow", "block"}
+
+
 def test_odd_rows(session):
     rows = [(i, u) for i, u in enumerate(URLS)] + [(None, "http://a.org/"), (3, "http://a.org/"), (3, "http://a.org/")]
     got = urls.judge_urls(session.createDataFrame(rows, "page_id long, url string")).collect()
